@@ -107,11 +107,12 @@ def tfidf(counts: DataFrame, terms: TermTable, key: str = "index") -> DataFrame:
 
 
 def tfidf_per_fold(
-    counts: DataFrame, terms: TermTable, folds: Sequence[int], key: str = "index"
+    counts: DataFrame, terms: TermTable, folds: Sequence[int], key: str = "index", role: str | None = None
 ) -> DataFrame:
-    """TF-IDF of every text under each split, fitted on the texts outside of fold `split`.
+    """TF-IDF of the texts under each split, fitted on the texts outside of fold `split`.
 
-    One join for all splits. A term that the fitting texts lack is dropped in that split.
+    One join for all splits. A term that the fitting texts lack is dropped in that split. `role`
+    keeps only the `train` or only the `validation` texts of each split.
     """
     frequencies = [f"df_{k}" for k in folds]
     known = lookup_join(
@@ -122,9 +123,15 @@ def tfidf_per_fold(
         row_bytes=128 + 8 * len(folds),
         rows=terms.rows,
     )
+
+    def wanted(k: int) -> Column:
+        inside = F.col("fold") == k
+        shown = {None: F.lit(True), "validation": inside, "train": ~inside}[role]
+        return shown & (F.col(f"df_{k}") > 0)
+
     per_split = F.array(
         *[
-            F.struct(F.lit(k).alias("split"), F.when(F.col(f"df_{k}") > 0, F.col("n") * smooth_idf(F.col(f"df_{k}"), terms.texts[k])).alias("weight"))
+            F.struct(F.lit(k).alias("split"), F.when(wanted(k), F.col("n") * smooth_idf(F.col(f"df_{k}"), terms.texts[k])).alias("weight"))
             for k in folds
         ]
     )

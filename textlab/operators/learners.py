@@ -192,7 +192,7 @@ class TermTraining:
     def __init__(self, docs: DataFrame, representation: Mapping, folds: Sequence[int], limit: int = LEARNER_TERMS):
         self.folds = list(folds)
         self.unit = representation["type"] == "tfidf"
-        self.docs = docs.select("index", "fold", F.col("label").cast("double").alias("label"))
+        self.docs = stage(docs.select("index", "fold", F.col("label").cast("double").alias("label")), "labels")
         self.counts = stage(
             term_counts(docs, "index", "clean", representation["ngram_range"], ["fold"]), "counts"
         )
