@@ -134,13 +134,13 @@ def check_unique(spark, folder):
 
 @query
 def csv_roundtrip(spark, folder):
-    wrong = errors.with_category(errors.misclassified(V.spark_view(spark, folder, "predictions")))
-    report = wrong.select(
+    wrong = S.in_order(errors.misclassified(V.spark_view(spark, folder, "predictions")), ["index"])
+    report = errors.with_category(wrong).select(
         "index", "text", G.report_label(F.col("label")).alias("true_label"),
         G.report_label(F.col("prediction")).alias("predicted_label"), "category",
     )
     path = new_folder(spark, "report")
-    S.write_table(report, path, S.ERROR_REPORT.names, ["index"])
+    S.write_table(report, path, S.ERROR_REPORT.names)
     return S.read_table(spark, path, S.ERROR_REPORT, multiline=True)
 
 

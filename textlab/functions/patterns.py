@@ -23,5 +23,9 @@ VARIATION_SELECTOR = "\ufe0f"
 
 
 def whole_words(words: str) -> str:
-    """Case-insensitive pattern for alternatives that stand between word boundaries."""
-    return rf"(?iu)(?<!{WORD})(?:{words})(?!{WORD})"
+    """Case-insensitive pattern for alternatives that stand between word boundaries.
+
+    The look at the first letter is for speed: it rules out most places of a text at once.
+    """
+    first = "".join(sorted({word[0] for word in words.split("|")}))
+    return rf"(?iu)(?=[{first}])(?<!{WORD})(?:{words})(?!{WORD})"

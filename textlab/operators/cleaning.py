@@ -22,7 +22,7 @@ def lemmatize(df: DataFrame, lemma_table: DataFrame, key: str = "index", tokens:
     whole = (
         spelled.groupBy(key)
         .agg(F.collect_list(F.struct("_pos", F.coalesce("lemma", "form").alias("lemma"))).alias("_parts"))
-        .select(key, F.transform(F.array_sort("_parts"), lambda part: part["lemma"]).alias("_lemmas"))
+        .select(key, F.sort_array("_parts")["lemma"].alias("_lemmas"))
     )
     empty = F.array().cast("array<string>")
     return df.join(whole, key, "left").withColumn(tokens, F.coalesce("_lemmas", empty)).drop("_lemmas")

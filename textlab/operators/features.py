@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textlab.functions.tokens import ngrams, vector_tokens
@@ -101,7 +99,7 @@ def _unit_length(weighted: DataFrame, key: Sequence[str], weight: str, out: str)
 
 def tfidf(counts: DataFrame, terms: TermTable, key: str = "index") -> DataFrame:
     """`n * (ln((1 + texts) / (1 + df)) + 1)`, then each text to length 1: `(key, term, value)`."""
-    known = lookup_join(counts, terms.table.select("term", "df"), "term", [key], rows=terms.rows)
+    known = lookup_join(counts, terms.table.select("term", "df"), "term", [key], rows=terms.rows, frequency="df")
     weighted = known.withColumn("_weight", F.col("n") * smooth_idf(F.col("df"), terms.texts[None]))
     return _unit_length(weighted, [key], "_weight", "value").select(key, "term", "value")
 
@@ -117,11 +115,12 @@ def tfidf_per_fold(
     frequencies = [f"df_{k}" for k in folds]
     known = lookup_join(
         counts.select(key, "fold", "term", "n"),
-        terms.table.select("term", *frequencies),
+        terms.table.select("term", "df", *frequencies),
         "term",
         [key],
         row_bytes=128 + 8 * len(folds),
         rows=terms.rows,
+        frequency="df",
     )
 
     def wanted(k: int) -> Column:
@@ -154,7 +153,7 @@ def mean_token_vectors(
     occurrences = apart(docs, F.col(tokens), "token", [key])
     counts = occurrences.groupBy(key, "token").agg(F.count(F.lit(1)).cast("double").alias("_n"))
     known = lookup_join(counts, vectors.select("token", "vec"), "token", [key], row_bytes=64 + 8 * dim)
-    mean = Summarizer.mean(array_to_vector(F.col("vec").cast("array<double>")), F.col("_n"))
-    means = known.groupBy(key).agg(vector_to_array(mean).alias("_mean"))
-    zeros = F.array_repeat(F.lit(0.0), dim)
-    return docs.select(key).join(means, key, "left").select(key, F.coalesce("_mean", zeros).alias("vec"))
+    totals = [F.sum(F.get("vec", F.lit(i)) * F.col("_n")).alias(f"_{i}") for i in range(dim)]
+    sums = known.groupBy(key).agg(F.sum("_n").alias("_tokens"), *totals)
+    mean = F.array(*[F.coalesce(F.col(f"_{i}") / F.col("_tokens"), F.lit(0.0)) for i in range(dim)])
+    return docs.select(key).join(sums, key, "left").select(key, mean.alias("vec"))

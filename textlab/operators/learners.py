@@ -106,7 +106,7 @@ def fit_classifier(train: DataFrame, rows: int, classifier: Mapping) -> LinearWe
 class TextModel:
     """Cleaning, features and weights in one: raw text in, label out.
 
-    `terms` is `(term, idf, weight)` for term features and unused for token vectors.
+    `terms` is `(term, df, idf, weight)` for term features and unused for token vectors.
     """
 
     configuration: Mapping
@@ -149,7 +149,7 @@ def embed(cleaned: DataFrame, resources: Resources, key: str) -> DataFrame:
 
 def term_margins(counts: DataFrame, terms: DataFrame, rows: int, unit: bool, key: str) -> DataFrame:
     """Weighted sum of the known terms per text, divided by the text's length where texts have length 1."""
-    known = lookup_join(counts, terms, "term", [key], rows=rows)
+    known = lookup_join(counts, terms, "term", [key], rows=rows, frequency="df")
     value = F.col("n") * F.col("idf") if unit else F.col("n")
     total = F.sum(value * F.col("weight"))
     if unit:
@@ -171,8 +171,8 @@ def _sparse(parts: Column, size: int, value: str) -> Column:
     return F.struct(
         F.lit(0).cast("tinyint").alias("type"),
         F.lit(size).alias("size"),
-        F.transform(parts, lambda part: part["slot"]).alias("indices"),
-        F.transform(parts, lambda part: part[value]).alias("values"),
+        parts["slot"].alias("indices"),
+        parts[value].alias("values"),
     )
 
 
@@ -220,7 +220,7 @@ class TermTraining:
     def _write_features(self) -> None:
         # Bag-of-words counts do not depend on the split; a term unseen outside of a fold gets weight 0.
         values = {f"v_{s}": F.col("n") * self._idf(s) for s in self._splits()} if self.unit else {"v": F.col("n").cast("double")}
-        known = lookup_join(self.counts, self.terms, "term", ["index"], rows=self.rows)
+        known = lookup_join(self.counts, self.terms, "term", ["index"], rows=self.rows, frequency="df")
         weighted = known.select("index", "slot", *[v.alias(name) for name, v in values.items()])
         if self.unit:
             lengths = [F.sqrt(F.sum(F.col(v) * F.col(v))).alias(f"len_{v}") for v in values]
@@ -233,7 +233,7 @@ class TermTraining:
             weighted = summed.groupBy("index", "slot").agg(*[F.sum(v).alias(v) for v in values])
         part = F.struct("slot", *values)
         grouped = weighted.groupBy("index").agg(
-            F.array_sort(F.collect_list(part)).alias("_parts"), *(lengths if self.unit and self.exact else [])
+            F.sort_array(F.collect_list(part)).alias("_parts"), *(lengths if self.unit and self.exact else [])
         )
         if self.unit and self.exact:
             scaled = F.transform(
@@ -254,13 +254,13 @@ class TermTraining:
         return rows if split is None else rows.filter(F.col("fold") != split)
 
     def fit(self, classifier: Mapping, split: int | None = None) -> tuple[DataFrame, float]:
-        """`(term, idf, weight)` of the terms known in a split, staged, and the intercept."""
+        """`(term, df, idf, weight)` of the terms known in a split, staged, and the intercept."""
         found = fit_classifier(self.features(split).select("label", "features"), self.texts[split], classifier)
         spark = self.docs.sparkSession
         weights = spark.createDataFrame(pd.DataFrame({"slot": range(len(found.weights)), "weight": found.weights}), "slot int, weight double")
-        known = self.terms.withColumn("idf", self._idf(split)).filter("idf IS NOT NULL").select("term", "slot", "idf")
+        known = self.terms.withColumn("idf", self._idf(split)).filter("idf IS NOT NULL").select("term", "df", "slot", "idf")
         placed = lookup_join(known, weights, "slot", ["term"], row_bytes=16, rows=self.size)
-        return stage(placed.select("term", "idf", "weight"), "model"), found.intercept
+        return stage(placed.select("term", "df", "idf", "weight"), "model"), found.intercept
 
     def score(self, terms: DataFrame, intercept: float, split: int) -> DataFrame:
         """Predictions for the texts that validate in a split."""

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_BYTES = 64 << 20
-SALTS = 32
+HOT_KEYS = 1000
+_SPREAD = 1024
 
 
 def fits_broadcast(table: DataFrame, row_bytes: int, rows: int | None = None) -> bool:
@@ -23,15 +24,31 @@ def lookup_join(
     how: str = "inner",
     row_bytes: int = 128,
     rows: int | None = None,
+    frequency: str | None = None,
 ) -> DataFrame:
-    """Join `left` with the row that `table` has for its key.
+    """Join `left` with the row that `table` has for its key; `how` is inner, left or left_semi.
 
-    A small table (size checked) is broadcast and `left` keeps its partitioning. A large one is
-    joined by key and salt: a key that holds a third of `left` is worked on by `SALTS` tasks.
-    `spread` are columns of `left` that vary inside one key.
+    A small table (size checked) is broadcast and `left` keeps its partitioning. With a large one
+    the most frequent keys are broadcast, and only the others meet the table in a shuffle: each of
+    those is a small share of the rows. `frequency` is a column of the table that tells how often a
+    key comes; without it the keys of `left` are counted. Rows that are served already are spread
+    over the shuffle by `spread`, columns of `left` that vary inside one key.
     """
     if fits_broadcast(table, row_bytes, rows):
         return left.join(F.broadcast(table), key, how)
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
-    return salted.join(copies.hint("shuffle_merge"), [key, "_salt"], how).drop("_salt")
+    payload = [c for c in table.columns if c != key]
+    if frequency is None:
+        often = left.groupBy(key).agg(F.count(F.lit(1)).alias("_often")).orderBy(F.desc("_often")).limit(HOT_KEYS)
+        hot = table.join(F.broadcast(often.select(key)), key, "left_semi")
+    else:
+        hot = table.orderBy(F.desc(frequency)).limit(HOT_KEYS)
+    hot = hot.select(key, *[F.col(c).alias(f"_hot_{c}") for c in payload], F.lit(True).alias("_served"))
+    rest = table.select(key, *[F.col(c).alias(f"_rest_{c}") for c in payload], F.lit(0).alias("_place"), F.lit(True).alias("_found"))
+    place = F.when(F.col("_served"), F.pmod(F.xxhash64(*spread), F.lit(_SPREAD)).cast("int") + 1).otherwise(0)
+    both = left.join(F.broadcast(hot), key, "left").withColumn("_place", place).join(rest, [key, "_place"], "left")
+    if how != "left":
+        both = both.filter(F.coalesce("_served", "_found"))
+    if how == "left_semi":
+        return both.select(*left.columns)
+    others = [c for c in left.columns if c != key]
+    return both.select(key, *others, *[F.coalesce(f"_hot_{c}", f"_rest_{c}").alias(c) for c in payload])

@@ -59,7 +59,8 @@ def shuffled_position(
     """Rows with their 0-based position in the order (`within`, seeded hash of `key`).
 
     Rows are ranked inside hash buckets, which stay small whatever the class sizes are; the bucket
-    offsets give the rest. Ties of the hash go by `key`.
+    offsets give the rest, and joining them by the buckets the rows are placed by moves no row again.
+    Ties of the hash go by `key`.
     """
     rows = hashed(df, key, seed, bits)
     counts = rows.groupBy(within, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
@@ -75,7 +76,5 @@ def shuffled_position(
         .select(within, "_bucket", (F.col("_class_before") + F.col("_in_class")).alias("_before"))
     )
     in_bucket = Window.partitionBy(within, "_bucket").orderBy("_hash", key)
-    ranked = rows.withColumn("_rank", F.row_number().over(in_bucket) - 1).join(
-        F.broadcast(offsets), [within, "_bucket"]
-    )
+    ranked = rows.withColumn("_rank", F.row_number().over(in_bucket) - 1).join(offsets, [within, "_bucket"])
     return ranked, F.col("_before") + F.col("_rank")

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textlab.operators.lookup import lookup_join
+from textlab.session import stage
 
 RUN_LOG = (
     "run_id string, status string, tags map<string,string>, params map<string,string>, "
@@ -179,10 +180,14 @@ def known_configuration() -> Column:
 
 
 def runs_audit(runs: DataFrame) -> DataFrame:
-    """Presented runs in full; only experiments and final runs show a configuration."""
+    """Presented runs in full; only experiments and final runs show a configuration.
+
+    Rows are put in order first: the sort samples what is below it, and that should not parse JSON.
+    """
     run_type = tag("lab_run_type")
     return (
         presented_runs(runs)
+        .orderBy("run_id")
         .select(
             "run_id",
             "status",
@@ -190,10 +195,9 @@ def runs_audit(runs: DataFrame) -> DataFrame:
             "params",
             "metrics",
             "tags",
-            F.array_sort("artifacts").alias("artifacts"),
+            F.sort_array("artifacts").alias("artifacts"),
             F.when(run_type.isin("experiment", "final"), known_configuration()).alias("configuration"),
         )
-        .orderBy("run_id")
     )
 
 
@@ -350,7 +354,7 @@ def ablation_delta(runs: DataFrame, strict: bool = False) -> DataFrame:
     )
     asked = ablations.select("parent_run_id").distinct()
     means = runs.select(F.col("run_id").alias("parent_run_id"), metric("macro_f1_mean").alias("parent_mean"))
-    parents = means.join(asked, "parent_run_id", "left_semi")
+    parents = stage(means.join(asked, "parent_run_id", "left_semi"), "parents")
     matched = lookup_join(ablations, parents, "parent_run_id", ["run_id"], how="left", row_bytes=64)
     missing = F.col("parent_mean").isNull()
     message = F.concat(F.lit("no macro_f1_mean for run "), F.col("parent_run_id"))

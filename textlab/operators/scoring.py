@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from textlab.functions import patterns as P
 from textlab.operators.learners import TextModel
+from textlab.operators.lookup import lookup_join
+from textlab.session import stage
 
 # Limits of one request.
 MAX_TEXTS = 32
@@ -51,10 +53,11 @@ def predict_texts(texts: DataFrame, model: TextModel) -> DataFrame:
 def score_requests(texts: DataFrame, requests: DataFrame, model: TextModel, model_run_id: str) -> DataFrame:
     """`(request_id, model_run_id, predictions)` of the valid requests, labels in input order.
 
-    Only valid requests get here, so a list has at most 32 labels.
+    Only valid requests get here, so a list has at most 32 labels. A rejected request may have any
+    number of texts; the lookup spreads them.
     """
-    valid = validate_requests(texts, requests).filter("ok").select("request_id")
-    scored = predict_texts(texts.join(valid, "request_id", "left_semi"), model)
+    valid = stage(validate_requests(texts, requests).filter("ok").select("request_id"), "valid-requests")
+    scored = predict_texts(lookup_join(texts, valid, "request_id", ["pos"], how="left_semi", row_bytes=32), model)
     pairs = F.array_sort(F.collect_list(F.struct("pos", "predicted_label")))
     return scored.groupBy("request_id").agg(
         F.lit(model_run_id).alias("model_run_id"),

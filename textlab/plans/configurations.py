@@ -205,36 +205,32 @@ def canonical_json(configuration: Column) -> Column:
     def sorted_map(m: Column) -> Column:
         return F.map_from_entries(F.array_sort(F.map_entries(m)))
 
-    ordered = (
-        configuration.withField("preprocessing.resources", sorted_map(configuration["preprocessing"]["resources"]))
-        .withField("preprocessing.additional", sorted_map(configuration["preprocessing"]["additional"]))
-        .withField("representation.parameters", sorted_map(configuration["representation"]["parameters"]))
-        .withField("classifier.parameters", sorted_map(configuration["classifier"]["parameters"]))
+    pre, rep, clf = (configuration[part] for part in _PARTS)
+    ordered = F.struct(
+        F.when(
+            pre.isNotNull(),
+            pre.withField("resources", sorted_map(pre["resources"])).withField("additional", sorted_map(pre["additional"])),
+        ).alias("preprocessing"),
+        F.when(rep.isNotNull(), rep.withField("parameters", sorted_map(rep["parameters"]))).alias("representation"),
+        F.when(clf.isNotNull(), clf.withField("parameters", sorted_map(clf["parameters"]))).alias("classifier"),
     )
     return F.to_json(ordered, {"ignoreNullFields": "false"})
 
 
-def parse_configuration(text: Column) -> Column:
-    """Configuration struct of a JSON text; null where the text is no JSON or names no classifier."""
-    parsed = F.from_json(text, CONFIGURATION)
-    return F.when(parsed["classifier"].isNotNull(), parsed)
-
-
 def config_conflicts(runs: DataFrame) -> DataFrame:
     """Configurations with several ids and ids with several configurations, with how many.
 
-    Runs shrink to the distinct pairs before anything is counted, so a popular id weighs no more
-    than its configurations.
+    Runs shrink to the distinct pairs of id and text before a text is parsed, and to those of id and
+    configuration before anything is counted, so a popular id weighs no more than its texts.
     """
-    pairs = (
-        runs.select(
-            F.try_element_at("tags", F.lit("lab_configuration_id")).alias("id"),
-            parse_configuration(F.col("configuration")).alias("configuration"),
-        )
-        .filter("id <> '' AND configuration IS NOT NULL")
-        .select("id", F.sha2(canonical_json(F.col("configuration")), 256).alias("hash"))
+    texts = runs.select(F.try_element_at("tags", F.lit("lab_configuration_id")).alias("id"), "configuration")
+    parsed = (
+        texts.filter("id <> '' AND configuration IS NOT NULL")
         .distinct()
+        .select("id", F.from_json("configuration", CONFIGURATION).alias("parsed"))
+        .filter("parsed.classifier IS NOT NULL")
     )
+    pairs = parsed.select("id", F.sha2(canonical_json(F.col("parsed")), 256).alias("hash")).distinct()
     by_hash = pairs.groupBy(F.col("hash").alias("value")).agg(F.count(F.lit(1)).alias("n"))
     by_id = pairs.groupBy(F.col("id").alias("value")).agg(F.count(F.lit(1)).alias("n"))
     return (

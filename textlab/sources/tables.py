@@ -84,15 +84,18 @@ def check_unique(df: DataFrame, key: str = "index") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
-def write_table(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[str]) -> None:
-    """CSV with exactly these columns; rows are in order within and across the part files."""
-    (
-        df.select(*columns)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.options(**_CSV)
-        .csv(path)
-    )
+def in_order(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows in order within and across partitions.
+
+    The range shuffle samples its input, so add costly columns after this step, not before.
+    """
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def write_table(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[str] = ()) -> None:
+    """CSV with exactly these columns, in the given order, or as the rows are if they are `in_order`."""
+    rows = df.select(*columns)
+    (in_order(rows, order) if order else rows).write.options(**_CSV).csv(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
