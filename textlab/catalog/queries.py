@@ -70,8 +70,7 @@ def baseline_clean(rows: DataFrame, *keep: str) -> DataFrame:
 
 def lemma_table(spark: SparkSession, folder: str) -> DataFrame:
     """Forms of four or more letters that end in `s` and whose stem is a term, too."""
-    counts = features.term_counts(baseline_clean(tweets(spark, folder)))
-    terms = stage(counts.select("term").distinct(), "lemma-terms")
+    terms = stage(features.distinct_terms(baseline_clean(tweets(spark, folder))), "lemma-terms")
     forms = terms.filter("length(term) >= 4 AND term LIKE '%s'").select(
         F.col("term").alias("form"), F.expr("substring(term, 1, length(term) - 1)").alias("lemma")
     )
@@ -80,8 +79,8 @@ def lemma_table(spark: SparkSession, folder: str) -> DataFrame:
 
 def token_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """A vector for each term of Latin letters: the embedding at the place its hash points to."""
-    counts = features.term_counts(baseline_clean(tweets(spark, folder)))
-    terms = counts.select(F.col("term").alias("token")).distinct().filter("token RLIKE '^[a-z]+$'")
+    found = features.distinct_terms(baseline_clean(tweets(spark, folder)))
+    terms = found.select(F.col("term").alias("token")).filter("token RLIKE '^[a-z]+$'")
     ranked = ranking.global_rank(spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding"), ["vec_id"], "place")
     rows = ranked.count()
     placed = terms.withColumn("place", F.pmod(ranking.seeded_hash(F.col("token")), F.lit(rows)))
@@ -292,12 +291,12 @@ def ngrams(spark, folder):
 
 @query
 def vocabulary(spark, folder):
-    return features.fit_vocabulary(grams(spark, folder, "train"))
+    return features.fit_vocabulary(features.distinct_terms(baseline_clean(tweets(spark, folder, "train"))))
 
 
 @query
 def bow_unigram(spark, folder):
-    known = features.fit_vocabulary(grams(spark, folder, "train"))
+    known = vocabulary(spark, folder)
     return features.bow(grams(spark, folder, "test"), known).select("index", "term", "term_index", "n")
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textlab.functions.tokens import ngrams, vector_tokens
-from textlab.operators.lookup import lookup_join
+from textlab.operators.lookup import fits_broadcast, lookup_join
 from textlab.operators.ranking import global_rank
 from textlab.session import stage
 
@@ -47,9 +47,15 @@ def term_counts(
     return terms.groupBy(key, *carry, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def fit_vocabulary(counts: DataFrame) -> DataFrame:
-    """All terms with their alphabetic position: `(term, term_index)`. Nothing is capped."""
-    return global_rank(counts.select("term").distinct(), ["term"], "term_index")
+def distinct_terms(docs: DataFrame, text: str = "clean", ngram_range: Sequence[int] = (1, 1)) -> DataFrame:
+    """`(term)` of all texts, each once; the first combine happens before anything moves."""
+    words = docs.select(vector_tokens(F.col(text)).alias("_tokens"))
+    return apart(words, ngrams(F.col("_tokens"), *ngram_range), "term", []).distinct()
+
+
+def fit_vocabulary(terms: DataFrame) -> DataFrame:
+    """Distinct terms with their alphabetic position: `(term, term_index)`. Nothing is capped."""
+    return global_rank(terms.select("term"), ["term"], "term_index")
 
 
 @dataclass(frozen=True)
@@ -152,7 +158,10 @@ def mean_token_vectors(
     """
     occurrences = apart(docs, F.col(tokens), "token", [key])
     counts = occurrences.groupBy(key, "token").agg(F.count(F.lit(1)).cast("double").alias("_n"))
-    known = lookup_join(counts, vectors.select("token", "vec"), "token", [key], row_bytes=64 + 8 * dim)
+    row_bytes, rows = 64 + 8 * dim, vectors.count()
+    if not fits_broadcast(vectors, row_bytes, rows):
+        counts = stage(counts, "token-counts")  # counted for its hot tokens, then joined
+    known = lookup_join(counts, vectors.select("token", "vec"), "token", [key], row_bytes=row_bytes, rows=rows)
     totals = [F.sum(F.get("vec", F.lit(i)) * F.col("_n")).alias(f"_{i}") for i in range(dim)]
     sums = known.groupBy(key).agg(F.sum("_n").alias("_tokens"), *totals)
     mean = F.array(*[F.coalesce(F.col(f"_{i}") / F.col("_tokens"), F.lit(0.0)) for i in range(dim)])

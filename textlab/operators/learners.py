@@ -21,11 +21,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from textlab.functions.signals import model_label
 from textlab.operators.cleaning import clean_text
-from textlab.operators.features import fit_terms, fit_vocabulary, mean_token_vectors, placed_by, smooth_idf, term_counts
+from textlab.operators.features import fit_terms, mean_token_vectors, placed_by, smooth_idf, term_counts
 from textlab.operators.lookup import lookup_join
+from textlab.operators.ranking import global_rank
 from textlab.session import new_folder, stage
 from textlab.functions.tokens import tokenize_words
 
+# Every task of a step returns a gradient as long as the weights, so a task should have work worth that.
+TASK_BYTES = 64 << 20
+_ENTRY_BYTES = 12
+
 # Learners keep one weight per feature on the driver; beyond this many terms, terms share slots by hash.
 LEARNER_TERMS = 1 << 22
 
@@ -102,6 +107,10 @@ def fit_classifier(train: DataFrame, rows: int, classifier: Mapping) -> LinearWe
     return LinearWeights(model.coefficients.toArray(), float(model.intercept))
 
 
+def training_tasks(size: int) -> int:
+    return max(1, -(-size // TASK_BYTES))
+
+
 @dataclass(frozen=True)
 class TextModel:
     """Cleaning, features and weights in one: raw text in, label out.
@@ -201,11 +210,11 @@ class TermTraining:
         self.exact = fitted.rows <= limit
         self.size = max(fitted.rows, 1) if self.exact else limit
         if self.exact:
-            ranked = fit_vocabulary(fitted.table)
-            slots = ranked.select("term", F.col("term_index").cast("int").alias("slot"))
-            self.terms = stage(fitted.table.join(slots, "term"), "slots")
+            ranked = global_rank(fitted.table, ["term"], "slot")
+            self.terms = ranked.withColumn("slot", F.col("slot").cast("int"))
         else:
             self.terms = fitted.table.withColumn("slot", F.pmod(F.xxhash64("term"), F.lit(limit)).cast("int"))
+        self.tasks = training_tasks(self.counts.count() * _ENTRY_BYTES)
         self.path = new_folder(docs.sparkSession, "features")
         self._write_features()
 
@@ -251,7 +260,7 @@ class TermTraining:
         """Training rows of a split with their vectors."""
         column = f"v_{split}" if self.unit else "v"
         rows = _read_vectors(self.docs.sparkSession, self.path, [column]).withColumnRenamed(column, "features")
-        return rows if split is None else rows.filter(F.col("fold") != split)
+        return (rows if split is None else rows.filter(F.col("fold") != split)).coalesce(self.tasks)
 
     def fit(self, classifier: Mapping, split: int | None = None) -> tuple[DataFrame, float]:
         """`(term, df, idf, weight)` of the terms known in a split, staged, and the intercept."""
@@ -274,6 +283,7 @@ class VectorTraining:
     """The same steps for mean token vectors, which need no fit of their own."""
 
     def __init__(self, docs: DataFrame, resources: Resources):
+        self.dim = resources.vector_dim
         vectors = embed(docs, resources, "index")
         labelled = docs.select("index", "fold", F.col("label").cast("double").alias("label"))
         self.rows = stage(labelled.join(vectors, "index"), "vectors")
@@ -281,8 +291,9 @@ class VectorTraining:
 
     def fit(self, classifier: Mapping, split: int | None = None) -> LinearWeights:
         rows = self.rows if split is None else self.rows.filter(F.col("fold") != split)
+        number = sum(n for fold, n in self.texts.items() if split is None or fold != split)
         train = rows.select("label", array_to_vector("vec").alias("features"))
-        return fit_classifier(train, sum(self.texts.values()) - self.texts.get(split, 0) if split is not None else sum(self.texts.values()), classifier)
+        return fit_classifier(train.coalesce(training_tasks(number * self.dim * 8)), number, classifier)
 
     def score(self, found: LinearWeights, split: int) -> DataFrame:
         inside = self.rows.filter(F.col("fold") == split)
