@@ -368,28 +368,27 @@ def ablation_delta(runs: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def leaderboard(runs: DataFrame) -> DataFrame:
-    """Best run per stage by cross-validated mean; ties go to the smaller run id. An aggregate, no sort."""
+    """Best run per stage by cross-validated mean; ties go to the smaller run id.
+
+    The best mean is a hash aggregate, so no stage is sorted; only the runs that reach it go on.
+    """
     scored = runs.filter((tag("lab_run_type") == "experiment") & metric("macro_f1_mean").isNotNull()).select(
         tag("lab_stage").alias("stage"),
-        F.struct(
-            (-metric("macro_f1_mean")).alias("order"),
-            "run_id",
-            tag("lab_configuration_id").alias("configuration_id"),
-        ).alias("run"),
-    )
-    best = scored.groupBy("stage").agg(F.min("run").alias("best"))
-    return best.select(
-        "stage", "best.run_id", "best.configuration_id", (-F.col("best.order")).alias("macro_f1_mean")
+        "run_id",
+        tag("lab_configuration_id").alias("configuration_id"),
+        metric("macro_f1_mean").alias("macro_f1_mean"),
     )
+    best = scored.groupBy("stage").agg(F.max("macro_f1_mean").alias("macro_f1_mean"))
+    tied = scored.join(best, ["stage", "macro_f1_mean"], "left_semi")
+    first = tied.groupBy("stage", "macro_f1_mean").agg(F.min(F.struct("run_id", "configuration_id")).alias("run"))
+    return first.select("stage", "run.run_id", "run.configuration_id", "macro_f1_mean")
 
 
 def champion(models: DataFrame, alias: str = "champion") -> DataFrame:
     """`(name, version, run_id)` that the alias points at: the newest version that carries it."""
-    return (
-        models.filter(F.col("alias") == alias)
-        .groupBy("name")
-        .agg(F.max("version").alias("version"), F.max_by("run_id", "version").alias("run_id"))
-    )
+    carrying = models.filter(F.col("alias") == alias).select("name", "version", "run_id")
+    newest = carrying.groupBy("name").agg(F.max("version").alias("version"))
+    return carrying.join(newest, ["name", "version"], "left_semi")
 
 
 def next_version(models: DataFrame, name: str, run_id: str, alias: str = "champion") -> DataFrame:
