@@ -54,6 +54,10 @@ def tweets(spark: SparkSession, folder: str, split: str | None = None) -> DataFr
     return rows if split is None else rows.filter(F.col("split") == split)
 
 
+def spread_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return S.spread(tweets(spark, folder).select("index", "text"), "index")
+
+
 def folds(spark: SparkSession, folder: str) -> DataFrame:
     """`(index, label, fold)` of the train texts."""
     return splits.stratified_kfold(tweets(spark, folder, "train").select("index", "label"))
@@ -198,7 +202,7 @@ def protocol_row(spark, folder):
 
 
 def _text_query(spark, folder, **columns):
-    return tweets(spark, folder).select("index", *[c.alias(n) for n, c in columns.items()])
+    return spread_texts(spark, folder).select("index", *[c.alias(n) for n, c in columns.items()])
 
 
 @query
@@ -234,7 +238,7 @@ def text_whitespace(spark, folder):
 
 
 def words(spark, folder) -> DataFrame:
-    return tweets(spark, folder).select("index", K.tokenize_words(F.col("text")).alias("tokens"))
+    return spread_texts(spark, folder).select("index", K.tokenize_words(F.col("text")).alias("tokens"))
 
 
 @query
@@ -279,13 +283,13 @@ def grams(spark, folder, split, ngram_range=(1, 1)) -> DataFrame:
 
 @query
 def vector_tokens(spark, folder):
-    rows = tweets(spark, folder).select("index", K.vector_tokens(F.col("text")).alias("tokens"))
+    rows = spread_texts(spark, folder).select("index", K.vector_tokens(F.col("text")).alias("tokens"))
     return rows.select("index", F.size("tokens").cast("bigint").alias("n"), joined("tokens", " "))
 
 
 @query
 def ngrams(spark, folder):
-    rows = tweets(spark, folder).select("index", K.ngrams(K.vector_tokens(F.col("text")), 1, 2).alias("grams"))
+    rows = spread_texts(spark, folder).select("index", K.ngrams(K.vector_tokens(F.col("text")), 1, 2).alias("grams"))
     return rows.select("index", F.size("grams").cast("bigint").alias("n"), joined("grams", "|"))
 
 
@@ -475,16 +479,17 @@ def select_errors(spark, folder):
 
 @query
 def error_signals(spark, folder):
-    return tweets(spark, folder).select("index", F.array_join(G.error_signals(F.col("text")), ",").alias("signals"))
+    return spread_texts(spark, folder).select("index", F.array_join(G.error_signals(F.col("text")), ",").alias("signals"))
 
 
 @query
 def error_category(spark, folder):
-    return errors.with_category(tweets(spark, folder)).select("index", "category")
+    return errors.with_category(spread_texts(spark, folder)).select("index", "category")
 
 
 def counted_categories(spark, folder) -> DataFrame:
-    return errors.category_counts(errors.with_category(errors.misclassified(V.spark_view(spark, folder, "predictions"))))
+    wrong = errors.misclassified(V.spark_view(spark, folder, "predictions")).select("index", "text")
+    return errors.category_counts(errors.with_category(S.spread(wrong, "index")))
 
 
 @query

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from textlab.functions.words import NEGATORS
 from textlab.operators.runlog import CONFIGURATION_ARTIFACT, EXPERIMENT_ARTIFACTS, FINAL_ARTIFACTS
 from textlab.plans.configurations import VECTOR_MODEL, baseline_configuration
+from textlab.sources.tables import spread
 
 VERSION = "1.5.0"
 PROTOCOL = {
@@ -156,7 +157,7 @@ def run_configuration_template() -> dict:
 
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
     """Run log from `runs_scored`: maps hold what is not null."""
-    flat = spark_view(spark, folder, "runs_scored")
+    flat = spread(spark_view(spark, folder, "runs_scored"), "event_id")
     kind = F.col("lab_run_type")
 
     def entries(pairs: dict, to: str):

@@ -30,6 +30,16 @@ ERROR_REPORT = T.StructType(
 )
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Place a scan by `key` if its files give fewer tasks than there are cores.
+
+    One file with one row group is one task, however many cores wait for the text work that follows.
+    A scan with enough splits stays as it is. `scan` must not hold a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+
+
 def read_split(spark: SparkSession, path: str, text: str = "text", label: str = "label", fmt: str = "parquet") -> DataFrame:
     """A labelled split; only the two columns are read."""
     return spark.read.format(fmt).load(path).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
