@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textlab.operators import features as FE, learners as L, scoring
+from textlab.operators import features as FE, learners as L, runlog as R, scoring
 from textlab.operators.evaluation import macro_f1_per_fold
 from textlab.plans import configurations as C, experiment as E
 from textlab.session import new_folder
@@ -161,6 +161,32 @@ def test_experiment_row_of_an_ablation(spark, docs):
     assert row["params"] == {"ablation_reverted_decision": "classifier"}
 
 
+def test_ablation_of_a_logged_run(spark, docs):
+    path = new_folder(spark, "log")
+    tags = {"lab_experiment_id": "EXTRA", "lab_stage": "classifier"}
+    R.append_run(E.experiment(docs, configuration("R_TFIDF_UNI", "C_SGD"), "run-p", tags), path)
+    runs = R.read_runs(spark, path)
+    assert E.stored_configuration(runs, "run-p")["classifier"]["type"] == "sgd"
+    R.append_run(E.ablation(docs, runs, "run-p", "classifier", "run-a", {"lab_member_id": "M"}, "1"), path)
+    runs = R.read_runs(spark, path)
+    kept = E.stored_configuration(runs, "run-a")
+    assert kept["classifier"]["type"] == "logistic_regression" and kept["representation"]["type"] == "tfidf"
+    rows = {r["run_id"]: r["metrics"] for r in runs.collect()}
+    assert rows["run-a"]["macro_f1_delta"] == pytest.approx(rows["run-p"]["macro_f1_mean"] - rows["run-a"]["macro_f1_mean"])
+    with pytest.raises(ValueError):
+        E.ablation(docs, runs, "no-run", "classifier", "x", {}, "1")
+
+
+def test_saved_models_predict_the_same(spark, docs, model):
+    folder = new_folder(spark, "models")
+    L.save_model(model, f"{folder}/run-2")
+    models = spark.createDataFrame([("m", 1, "run-1", "champion"), ("m", 2, "run-2", "champion")], "name string, version int, run_id string, alias string")
+    loaded, run_id = E.champion_model(models, "m", folder)
+    assert run_id == "run-2" and E.champion_model(models, "other", folder) is None
+    columns = ["index", "margin", "predicted_label"]
+    assert sorted(loaded.predict(docs).select(columns).collect()) == sorted(model.predict(docs).select(columns).collect())
+
+
 REQUEST_TEXTS = {
     1: ["good nice", "bad sad"], 2: ["good"], 3: [None], 4: [""], 5: [" "], 6: [], 7: ["ok", ""],
     8: ["ok"] * 33, 9: ["a" * 1001], 10: ["a" * 1000], 11: ["\x1c\xa0"], 12: ["bad"] * 32,

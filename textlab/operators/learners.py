@@ -6,6 +6,7 @@ once. Scoring needs none: the model is a table of terms and weights that the ter
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -142,6 +143,44 @@ class TextModel:
         )
 
 
+_MODEL = (
+    "configuration string, intercept double, dense_weights array<double>, term_rows bigint, vector_dim int, "
+    "clean_options string, has_terms boolean, has_lemmas boolean, has_vectors boolean"
+)
+
+
+def save_model(model: TextModel, path: str) -> None:
+    """Write a model with the lookup tables it needs; the folder must be new."""
+    found = model.resources
+    tables = {"terms": model.terms, "lemmas": found.lemma_table, "vectors": found.token_vectors}
+    for name, table in tables.items():
+        if table is not None:
+            table.write.parquet(f"{path}/{name}")
+    row = (
+        json.dumps(model.configuration), model.intercept, [float(w) for w in model.dense_weights], model.term_rows,
+        found.vector_dim, json.dumps(dict(found.clean_options)), *[table is not None for table in tables.values()],
+    )
+    SparkSession.active().createDataFrame([row], _MODEL).write.parquet(f"{path}/model")
+
+
+def load_model(spark: SparkSession, path: str) -> TextModel:
+    row = spark.read.parquet(f"{path}/model").first()
+
+    def table(name: str, there: bool) -> DataFrame | None:
+        return spark.read.parquet(f"{path}/{name}") if there else None
+
+    resources = Resources(
+        lemma_table=table("lemmas", row["has_lemmas"]),
+        token_vectors=table("vectors", row["has_vectors"]),
+        vector_dim=row["vector_dim"],
+        clean_options=json.loads(row["clean_options"]),
+    )
+    return TextModel(
+        json.loads(row["configuration"]), row["intercept"], resources, table("terms", row["has_terms"]),
+        row["term_rows"], row["dense_weights"],
+    )
+
+
 def prepare_text(docs: DataFrame, configuration: Mapping, resources: Resources, key: str, text: str = "text") -> DataFrame:
     return clean_text(
         placed_by(docs, key), configuration["preprocessing"], key, text, lemma_table=resources.lemma_table, **resources.clean_options

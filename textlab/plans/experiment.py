@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from textlab.operators.errors import error_report
 from textlab.operators.evaluation import macro_f1_per_fold, t0_scores
-from textlab.operators.learners import Resources, TextModel, cross_validate, train_model
-from textlab.operators.runlog import EXPERIMENT_ARTIFACTS, experiment_run, final_run
-from textlab.plans.configurations import CONFIGURATION, canonical_json
+from textlab.operators.learners import Resources, TextModel, cross_validate, load_model, train_model
+from textlab.operators.runlog import (
+    EXPERIMENT_ARTIFACTS, champion, experiment_run, final_run, known_configuration, metric,
+)
+from textlab.plans.configurations import CONFIGURATION, canonical_json, revert_decision
 from textlab.session import stage
 
 
@@ -45,6 +47,44 @@ def experiment(
     )
 
 
+def stored_configuration(runs: DataFrame, run_id: str) -> dict:
+    """Configuration of one run of the log; one row comes to the driver."""
+    found = runs.filter(F.col("run_id") == run_id).select(known_configuration().alias("text")).first()
+    if found is None or found["text"] is None:
+        raise ValueError(f"no configuration for run {run_id}")
+    return json.loads(found["text"])
+
+
+def ablation(
+    docs: DataFrame,
+    runs: DataFrame,
+    parent_run_id: str,
+    decision: str,
+    run_id: str,
+    tags: Mapping[str, str],
+    version: str,
+    resources: Resources = Resources(),
+) -> DataFrame:
+    """Evaluate a logged run's configuration with one decision reverted; returns the run row."""
+    parent = runs.filter(F.col("run_id") == parent_run_id).select(metric("macro_f1_mean").alias("mean")).first()
+    if parent is None or parent["mean"] is None:
+        raise ValueError(f"no macro_f1_mean for run {parent_run_id}")
+    stored = F.from_json(F.lit(json.dumps(stored_configuration(runs, parent_run_id))), CONFIGURATION)
+    parts = docs.sparkSession.range(1).select(stored.alias("c")).select("c.*")
+    text = canonical_json(F.struct("preprocessing", "representation", "classifier")).alias("text")
+    reverted = json.loads(revert_decision(parts, decision, version).select(text).first()["text"])
+    own = {"lab_experiment_id": "ABLATION", "lab_stage": "ablation", "lab_ablation_parent_run_id": parent_run_id}
+    return experiment(docs, reverted, run_id, {**tags, **own}, resources, parent["mean"], decision)
+
+
+def champion_model(models: DataFrame, name: str, folder: str) -> tuple[TextModel, str] | None:
+    """The champion's model and run id; models are saved below `folder` by run id. None without a champion."""
+    found = champion(models.filter(F.col("name") == name)).first()
+    if found is None:
+        return None
+    return load_model(models.sparkSession, f"{folder}/{found['run_id']}"), found["run_id"]
+
+
 @dataclass(frozen=True)
 class FinalModel:
     model: TextModel
