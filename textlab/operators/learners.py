@@ -21,12 +21,12 @@ from pyspark.mllib.regression import LabeledPoint
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from textlab.functions.signals import model_label
+from textlab.functions.tokens import tokenize_words
 from textlab.operators.cleaning import clean_text
 from textlab.operators.features import fit_terms, mean_token_vectors, placed_by, smooth_idf, term_counts
 from textlab.operators.lookup import lookup_join
 from textlab.operators.ranking import global_rank
 from textlab.session import new_folder, stage
-from textlab.functions.tokens import tokenize_words
 
 # Every task of a step returns a gradient as long as the weights, so a task should have work worth that.
 TASK_BYTES = 64 << 20
@@ -62,10 +62,6 @@ class LinearWeights:
     intercept: float
 
 
-def _number(value) -> float:
-    return float(value)
-
-
 def check_classifier(classifier: Mapping) -> dict:
     """Parameters of a classifier that can be fitted; anything unknown is an error."""
     kind, given = classifier["type"], dict(classifier.get("parameters") or {})
@@ -92,17 +88,17 @@ def fit_classifier(train: DataFrame, rows: int, classifier: Mapping) -> LinearWe
         model = SVMWithSGD.train(
             points,
             iterations=int(given.get("max_iter", 100)),
-            regParam=_number(given.get("alpha", 1e-4)),
-            convergenceTol=_number(given.get("tol", 1e-3)),
+            regParam=float(given.get("alpha", 1e-4)),
+            convergenceTol=float(given.get("tol", 1e-3)),
             intercept=intercept,
         )
         return LinearWeights(model.weights.toArray(), float(model.intercept))
     learner = {"logistic_regression": LogisticRegression, "linear_svm": LinearSVC}[kind]
     model = learner(
-        regParam=1.0 / (_number(given.get("C", 1.0)) * rows),
+        regParam=1.0 / (float(given.get("C", 1.0)) * rows),
         standardization=False,
         maxIter=int(given.get("max_iter", 100)),
-        tol=_number(given.get("tol", 1e-4)),
+        tol=float(given.get("tol", 1e-4)),
         fitIntercept=intercept,
     ).fit(train)
     return LinearWeights(model.coefficients.toArray(), float(model.intercept))
