@@ -14,6 +14,7 @@ def _both(links: DataFrame) -> DataFrame:
 def _to_least(rows: DataFrame, larger_only: bool) -> DataFrame:
     """Link the neighbours `b` of each `a` to the least of them and `a`; the least comes from a plain aggregate."""
     least = rows.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("_a"), F.least("a", "m").alias("m"))
+    least = stage(least, "least")  # read back, so that the join is of plain shuffles and a node with most links can be split
     joined = rows.join(least, F.col("a") == F.col("_a"))
     if larger_only:
         return joined.filter("b > a").select(F.col("b").alias("x"), F.col("m").alias("y"))

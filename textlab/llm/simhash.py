@@ -205,6 +205,7 @@ def near_links(prints: DataFrame, budget: int = 4, block: int = 2048) -> DataFra
     valued = prints.select("node", F.posexplode("tables").alias("table", "value"))
     keyed = valued.select("node", "value", F.explode(bucket_keys(F.col("value"), F.col("table"), budget)).alias("bucket"))
     sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    sizes = stage(sizes, "buckets")  # aggregates are read back, so that the joins can split a frequent key
     blocks = F.ceil(F.col("size") / block).cast("int")
     placed = keyed.join(sizes, "bucket").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -223,11 +224,11 @@ def near_links(prints: DataFrame, budget: int = 4, block: int = 2048) -> DataFra
 def near_components(prints: DataFrame, key: str = "doc_id", budget: int = 4) -> DataFrame:
     """`(key, fingerprint, component_id)`: the smallest id that links reach, a row's own included."""
     staged = stage(prints.select(F.col(key).alias("key"), "fingerprint"), "fingerprints")
-    distinct = staged.groupBy("fingerprint").agg(F.min("key").alias("least"))
+    distinct = stage(staged.groupBy("fingerprint").agg(F.min("key").alias("least")), "distinct")
     roots = components(near_links(distinct.select(F.col("fingerprint").alias("node"), F.array("fingerprint").alias("tables")), budget))
     linked = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = linked.select("fingerprint", "root").join(named, "root").select("fingerprint", "component_id")
+    classes = stage(linked.select("fingerprint", "root").join(named, "root").select("fingerprint", "component_id"), "classes")
     return staged.join(classes, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
 
 
@@ -281,19 +282,19 @@ def similar_groups(
     kind = rows.schema["key"].dataType.simpleString()
     found = rows.mapInArrow(_tables(width, tables), f"key {kind}, content bigint, tables array<bigint>")
     staged = stage(found.withColumn("node", F.xxhash64("tables")), "fingerprints")
-    nodes = staged.groupBy("node").agg(F.min(F.struct("key", "content")).alias("least"), F.first("tables").alias("tables"))
+    nodes = stage(staged.groupBy("node").agg(F.min(F.struct("key", "content")).alias("least"), F.first("tables").alias("tables")), "nodes")
     links = stage(near_links(nodes.select("node", "tables"), budget), "candidates")
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
     wanted = nodes.select("node", F.col("least.key").alias("of_key"), F.col("least.content").alias("of_content")).join(ends, "node")
     texts = rows.join(wanted, [F.col("key").eqNullSafe(F.col("of_key")), F.col("content") == F.col("of_content")]).select("node", "text")
     sets = stage(texts.mapInArrow(_shingles(width), "node bigint, shingles array<bigint>"), "shingles")
-    sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    sets = stage(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
     both = links.join(sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a").join(sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b")
     common = F.size(F.array_intersect("x", "y"))
     similar = both.filter(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
     roots = components(similar)
     linked = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = linked.groupBy("root").agg(F.min("least").alias("first"))
-    classes = linked.select("node", "root").join(named, "root").select("node", "first")
+    classes = stage(linked.select("node", "root").join(named, "root").select("node", "first"), "classes")
     stays = F.struct("key", "content").eqNullSafe(F.col("first")).alias("stays")
     return staged.select("key", "content", "node").join(classes, "node").select(F.col("key").alias(key), "content", F.col("first.key").alias("component_id"), stays)
