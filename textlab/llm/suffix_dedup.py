@@ -143,9 +143,11 @@ def repeated_passages(documents: DataFrame, key: str = "doc_id", text: str = "te
         "suffixes",
     )
     seeds = suffixes.groupBy("suffix").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("suffix")
+    seeds = stage(seeds, "seed-keys")  # aggregates are read back, so that the joins can split a frequent key
     found = stage(suffixes.join(seeds, "suffix", "left_semi").drop("suffix"), "seeds")
     place = F.struct("id", "content", "low")
     classes = found.groupBy("stretch").agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"))
+    classes = stage(classes, "classes")
     members = found.join(classes, "stretch").withColumn("is_first", place.eqNullSafe(F.col("first")))
     members = stage(members.select("id", "content", "low", "high", "copies", "is_first"), "stretches")
     again = members.filter("copies > 1").select("id", "content", "low", "high", F.expr("NOT is_first").alias("later"))
@@ -155,6 +157,7 @@ def repeated_passages(documents: DataFrame, key: str = "doc_id", text: str = "te
     windows = stage(texts.mapInArrow(_windows(length), f"window bigint, id {kind}, content bigint, start int, copies bigint"), "windows")
     start = F.struct("id", "content", "start")
     counted = windows.groupBy("window").agg(F.sum("copies").alias("n"), F.min(start).alias("first")).filter("n > 1")
+    counted = stage(counted, "window-counts")
     repeated = windows.join(counted, "window").select("id", "content", F.col("start").alias("low"), F.col("start").alias("high"), (~start.eqNullSafe(F.col("first"))).alias("later"))
     per_text = again.unionAll(repeated).groupBy("id", "content").agg(F.collect_list(F.struct("low", "high", "later")).alias("found"))
     spans = per_text.mapInArrow(_joined(length), f"id {kind}, content bigint, spans array<array<bigint>>, removed array<array<bigint>>")
