@@ -114,10 +114,11 @@ def train_model(
     label: str = "toxic",
     grams: Grams = Grams(),
     fit_rows: int = 20_000,
-    features: int = 1 << 13,
+    features: int = 1 << 11,
     smoothing: float = 1.0,
     least_score: float = 20.0,
-    penalty: float = 3e-4,
+    penalty: float = 1e-5,
+    iterations: int = 100,
 ) -> ToxicityModel:
     """Fit on the rows of `labels`; what is broadcast has at most `fit_rows` rows of a key and a label."""
     ship(documents.sparkSession)
@@ -148,7 +149,7 @@ def train_model(
     size = len(best)
     vector = F.udf(lambda places: Vectors.sparse(size, places, scale[places]), VectorUDT())
     bags = bags.repartition(documents.sparkSession.sparkContext.defaultParallelism).select(F.col("label").cast("double").alias("label"), vector("places").alias("features"))
-    fitted = LogisticRegression(regParam=penalty, standardization=False, maxIter=40, tol=1e-6).fit(bags)
+    fitted = LogisticRegression(regParam=penalty, standardization=False, maxIter=iterations, tol=1e-7).fit(bags)
     weights[bucket[best]] = fitted.coefficients.toArray() * scale
     return ToxicityModel(grams, weights, float(fitted.intercept))
 
