@@ -275,14 +275,15 @@ def similar_groups(
     Candidates: pairs near in one of several fingerprints, by the pigeonring. The spanning links of the candidates,
     closest first, are kept if the Jaccard similarity of the whole shingle sets is `similarity` or more.
     Texts with the same fingerprints throughout are one node. Texts without words are similar to each other.
-    `content` is the XXH64 of the text; the row with the least (key, content) of a component stays.
+    `content` is the XXH64 of the text; the row with the least (key, content) of a component stays, one without a key only if none has one.
     """
     ship(documents.sparkSession)
     rows = documents.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("content"), F.col(f"`{text}`").alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     found = rows.mapInArrow(_tables(width, tables), f"key {kind}, content bigint, tables array<bigint>")
     staged = stage(found.withColumn("node", F.xxhash64("tables")), "fingerprints")
-    nodes = stage(staged.groupBy("node").agg(F.min(F.struct("key", "content")).alias("least"), F.first("tables").alias("tables")), "nodes")
+    place = F.struct(F.isnull("key").alias("no_key"), "key", "content")
+    nodes = stage(staged.groupBy("node").agg(F.min(place).alias("least"), F.first("tables").alias("tables")), "nodes")
     links = stage(near_links(nodes.select("node", "tables"), budget), "candidates")
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
     wanted = nodes.select("node", F.col("least.key").alias("of_key"), F.col("least.content").alias("of_content")).join(ends, "node")
@@ -296,5 +297,5 @@ def similar_groups(
     linked = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = linked.groupBy("root").agg(F.min("least").alias("first"))
     classes = stage(linked.select("node", "root").join(named, "root").select("node", "first"), "classes")
-    stays = F.struct("key", "content").eqNullSafe(F.col("first")).alias("stays")
+    stays = place.eqNullSafe(F.col("first")).alias("stays")
     return staged.select("key", "content", "node").join(classes, "node").select(F.col("key").alias(key), "content", F.col("first.key").alias("component_id"), stays)
