@@ -103,10 +103,10 @@ def test_cross_validation_beats_the_majority(spark, docs, classifier):
     assert min(r["macro_f1"] for r in macro_f1_per_fold(predictions).collect()) > 0.8
 
 
-def test_shared_slots_when_terms_exceed_the_limit(spark, docs):
+def test_shared_slots_only_if_the_configuration_says_so(spark, docs):
     prepared = docs.withColumn("clean", F.col("text"))
     for kind in ("bow", "tfidf"):
-        training = L.TermTraining(prepared, {"type": kind, "ngram_range": [1, 1]}, [0, 1, 2], limit=8)
+        training = L.TermTraining(prepared, {"type": kind, "ngram_range": [1, 1], "parameters": {"hash_slots": "8"}}, [0, 1, 2])
         assert training.size == 8 and not training.exact
         terms, intercept = training.fit({"type": "logistic_regression"}, 0)
         assert terms.count() == training.terms.filter("df_0 > 0").count()

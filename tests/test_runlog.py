@@ -218,3 +218,11 @@ def test_minimum_and_leaderboard(spark):
     assert [(r["member_id"], r["meets_minimum"]) for r in minimum] == [("m", True)]
     best = {r["stage"]: r["run_id"] for r in R.leaderboard(runs).collect()}
     assert best["s0"] == "r0" and best["s1"] == "r1"
+
+
+def test_runs_without_status_or_artifacts_are_invalid_not_null(spark):
+    runs = spark.createDataFrame(
+        [("a", None, {"lab_run_type": "experiment"}, None, None, ["x"]), ("b", "FINISHED", {"lab_run_type": "experiment"}, {}, None, None)],
+        "run_id string, status string, tags map<string,string>, params map<string,string>, metrics map<string,double>, artifacts array<string>",
+    )
+    assert [r["valid"] for r in R.valid_experiment(runs).collect()] == [False, False]

@@ -137,3 +137,12 @@ def test_category_counts_show_zeros_and_ties_keep_order(spark):
     counts = category_counts(rows)
     assert counts.count() == 10 and counts.agg(F.sum("n")).first()[0] == 4
     assert [r["category"] for r in top_categories(counts).collect()] == ["hashtag", "emoji"]
+
+
+def test_lookup_spreads_frequent_keys_that_the_table_lacks_and_nulls(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    left = spark.range(2000).select("id", F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).when(F.col("id") % 2 == 0, "hot").alias("key"))
+    table = spark.createDataFrame([("10", 1), ("20", 2)], "key string, value int")
+    got = lookup.lookup_join(left, table, "key", ["id"], how="left")
+    assert got.count() == 2000 and got.filter("value IS NOT NULL").count() == 2
+    assert lookup.lookup_join(left, table, "key", ["id"]).count() == 2

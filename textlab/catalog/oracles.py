@@ -315,15 +315,16 @@ def all_oracles() -> dict[str, str]:
 
     # sources, sinks, checks
     found["labelled_text"] = with_([LABELLED], "SELECT index, text, label FROM labelled")
-    found["source_profile"] = with_([LABELLED], """SELECT 'index,text,label' AS columns, count(*) AS n_rows,
+    every = LABELLED.replace("labelled AS", "every AS").replace(" JOIN labels", " LEFT JOIN labels")
+    found["source_profile"] = with_([every], """SELECT 'index,text,label' AS columns, count(*) AS n_rows,
   CAST(sum(CASE WHEN text IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_texts, min(length(text)) AS min_length,
-  max(length(text)) AS max_length, count(DISTINCT label) AS classes, arg_min(text, index) AS example_text,
-  arg_min(label, index) AS example_label FROM labelled""")
+  max(length(text)) AS max_length, count(DISTINCT label) AS classes, count(*) - count(label) AS missing_labels,
+  arg_min_null(text, index) AS example_text, arg_min_null(label, index) AS example_label FROM every""")
     found["check_row_count"] = (
         "SELECT 'documents' AS \"check\", CAST(1000 AS BIGINT) AS expected, count(*) AS actual, count(*) = 1000 AS ok FROM documents"
     )
     found["row_index"] = with_(
-        [LABELLED], "SELECT index AS doc_id, label, row_number() OVER (ORDER BY labelled.index) - 1 AS index FROM labelled"
+        [every], "SELECT index AS doc_id, label, row_number() OVER (ORDER BY every.index) - 1 AS index FROM every"
     )
     found["partitions_with_text"] = over(
         "tweets", "SELECT f.index, f.fold, l.text, l.label FROM folds f LEFT JOIN labelled l ON f.index = l.index", TRAIN, FOLDS, LABELLED

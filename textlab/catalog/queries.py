@@ -104,7 +104,7 @@ def labelled_text(spark, folder):
 
 @query
 def source_profile(spark, folder):
-    return S.profile_source(S.read_labelled_text(spark, folder))
+    return S.profile_source(S.read_labelled_text(spark, folder, "left"))
 
 
 @query
@@ -114,7 +114,7 @@ def check_row_count(spark, folder):
 
 @query
 def row_index(spark, folder):
-    rows = S.read_labelled_text(spark, folder).select(F.col("index").alias("doc_id"), "label")
+    rows = S.read_labelled_text(spark, folder, "left").select(F.col("index").alias("doc_id"), "label")
     return ranking.with_row_index(rows, ["doc_id"])
 
 

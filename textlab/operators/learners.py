@@ -15,9 +15,6 @@ import pandas as pd
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
-from pyspark.mllib.classification import SVMWithSGD
-from pyspark.mllib.linalg import Vectors
-from pyspark.mllib.regression import LabeledPoint
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from textlab.functions.signals import model_label
@@ -32,9 +29,6 @@ from textlab.session import new_folder, stage
 TASK_BYTES = 64 << 20
 _ENTRY_BYTES = 12
 
-# Learners keep one weight per feature on the driver; beyond this many terms, terms share slots by hash.
-LEARNER_TERMS = 1 << 22
-
 LEARNERS = ("logistic_regression", "linear_svm", "sgd")
 _COMMON = {"C", "max_iter", "tol", "fit_intercept"}
 _ACCEPTED = {
@@ -78,27 +72,21 @@ def fit_classifier(train: DataFrame, rows: int, classifier: Mapping) -> LinearWe
 
     Logistic regression has the objective of a penalty strength C over the sum of the losses, which
     in terms of the mean loss is 1 / (C rows). The linear SVM uses the hinge, not the squared hinge,
-    and does not penalise the intercept. SGD takes full-gradient steps of size 1 / sqrt(step).
+    and does not penalise the intercept. The objective of SGD, mean hinge and alpha / 2 |w|^2, is solved by the same learner.
     """
     given = check_classifier(classifier)
     kind = classifier["type"]
     intercept = str(given.get("fit_intercept", True)).lower() == "true"
     if kind == "sgd":
-        points = train.rdd.map(lambda row: LabeledPoint(row["label"], Vectors.fromML(row["features"])))
-        model = SVMWithSGD.train(
-            points,
-            iterations=int(given.get("max_iter", 100)),
-            regParam=float(given.get("alpha", 1e-4)),
-            convergenceTol=float(given.get("tol", 1e-3)),
-            intercept=intercept,
-        )
-        return LinearWeights(model.weights.toArray(), float(model.intercept))
-    learner = {"logistic_regression": LogisticRegression, "linear_svm": LinearSVC}[kind]
+        learner, penalty, tolerance = LinearSVC, float(given.get("alpha", 1e-4)), 1e-3
+    else:
+        learner = {"logistic_regression": LogisticRegression, "linear_svm": LinearSVC}[kind]
+        penalty, tolerance = 1.0 / (float(given.get("C", 1.0)) * rows), 1e-4
     model = learner(
-        regParam=1.0 / (float(given.get("C", 1.0)) * rows),
+        regParam=penalty,
         standardization=False,
         maxIter=int(given.get("max_iter", 100)),
-        tol=float(given.get("tol", 1e-4)),
+        tol=float(given.get("tol", tolerance)),
         fitIntercept=intercept,
     ).fit(train)
     return LinearWeights(model.coefficients.toArray(), float(model.intercept))
@@ -231,9 +219,12 @@ class TermTraining:
 
     Texts are counted once. Document frequencies outside of each fold come from one aggregation,
     and one table holds the vectors of every split, so folds cost fits, not passes over the text.
+
+    Each term has its own slot, however many there are. Only `hash_slots` among the parameters of the representation
+    makes terms share that many slots by hash; it is part of the configuration and so of the logged run.
     """
 
-    def __init__(self, docs: DataFrame, representation: Mapping, folds: Sequence[int], limit: int = LEARNER_TERMS):
+    def __init__(self, docs: DataFrame, representation: Mapping, folds: Sequence[int]):
         self.folds = list(folds)
         self.unit = representation["type"] == "tfidf"
         self.docs = stage(docs.select("index", "fold", F.col("label").cast("double").alias("label")), "labels")
@@ -242,13 +233,14 @@ class TermTraining:
         )
         fitted = fit_terms(self.docs, self.counts, self.folds)
         self.rows, self.texts = fitted.rows, fitted.texts
-        self.exact = fitted.rows <= limit
-        self.size = max(fitted.rows, 1) if self.exact else limit
+        slots = (representation.get("parameters") or {}).get("hash_slots")
+        self.exact = slots is None
+        self.size = max(fitted.rows, 1) if self.exact else int(slots)
         if self.exact:
             ranked = global_rank(fitted.table, ["term"], "slot")
             self.terms = ranked.withColumn("slot", F.col("slot").cast("int"))
         else:
-            self.terms = fitted.table.withColumn("slot", F.pmod(F.xxhash64("term"), F.lit(limit)).cast("int"))
+            self.terms = fitted.table.withColumn("slot", F.pmod(F.xxhash64("term"), F.lit(self.size)).cast("int"))
         self.tasks = training_tasks(self.counts.count() * _ENTRY_BYTES)
         self.path = new_folder(docs.sparkSession, "features")
         self._write_features()

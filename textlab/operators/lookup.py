@@ -39,15 +39,17 @@ def lookup_join(
     payload = [c for c in table.columns if c != key]
     if frequency is None:
         often = left.groupBy(key).agg(F.count(F.lit(1)).alias("_often")).orderBy(F.desc("_often")).limit(HOT_KEYS)
-        hot = table.join(F.broadcast(often.select(key)), key, "left_semi")
+        often = often.filter(F.col(key).isNotNull()).select(key)
+        of_table = table.withColumn("_hit", F.lit(True)).join(F.broadcast(often), key, "left_semi")
+        hot = often.join(of_table, key, "left")  # a frequent key that the table lacks is served as well: with nothing
     else:
-        hot = table.orderBy(F.desc(frequency)).limit(HOT_KEYS)
-    hot = hot.select(key, *[F.col(c).alias(f"_hot_{c}") for c in payload], F.lit(True).alias("_served"))
+        hot = table.orderBy(F.desc(frequency)).limit(HOT_KEYS).withColumn("_hit", F.lit(True))
+    hot = hot.select(key, *[F.col(c).alias(f"_hot_{c}") for c in payload], "_hit", F.lit(True).alias("_served"))
     rest = table.select(key, *[F.col(c).alias(f"_rest_{c}") for c in payload], F.lit(0).alias("_place"), F.lit(True).alias("_found"))
-    place = F.when(F.col("_served"), F.pmod(F.xxhash64(*spread), F.lit(_SPREAD)).cast("int") + 1).otherwise(0)
+    place = F.when(F.col("_served") | F.col(key).isNull(), F.pmod(F.xxhash64(*spread), F.lit(_SPREAD)).cast("int") + 1).otherwise(0)
     both = left.join(F.broadcast(hot), key, "left").withColumn("_place", place).join(rest, [key, "_place"], "left")
     if how != "left":
-        both = both.filter(F.coalesce("_served", "_found"))
+        both = both.filter(F.coalesce("_hit", "_found"))
     if how == "left_semi":
         return both.select(*left.columns)
     others = [c for c in left.columns if c != key]

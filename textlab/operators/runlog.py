@@ -55,7 +55,9 @@ def metric(name: str) -> Column:
 
 
 def _has_all(have: Column, need: Sequence[str]) -> Column:
-    return F.size(F.array_except(F.array(*[F.lit(n) for n in need]), have)) == 0
+    """A list that is missing holds nothing."""
+    listed = F.coalesce(have, F.array().cast("array<string>"))
+    return F.size(F.array_except(F.array(*[F.lit(n) for n in need]), listed)) == 0
 
 
 # --- writing --------------------------------------------------------------------------------------
@@ -204,7 +206,7 @@ def runs_audit(runs: DataFrame) -> DataFrame:
 def valid_experiment_test() -> Column:
     """Finished, with all keys and artifacts an experiment needs. Keys count, not their values."""
     return (
-        (F.col("status") == "FINISHED")
+        F.col("status").eqNullSafe("FINISHED")
         & _has_all(F.map_keys("tags"), EXPERIMENT_TAGS)
         & _has_all(F.map_keys("metrics"), EXPERIMENT_METRICS)
         & _has_all(F.col("artifacts"), EXPERIMENT_ARTIFACTS)
@@ -214,7 +216,7 @@ def valid_experiment_test() -> Column:
 def valid_final_test() -> Column:
     """Finished, with all keys and artifacts a final run needs. The run type itself is not tested."""
     return (
-        (F.col("status") == "FINISHED")
+        F.col("status").eqNullSafe("FINISHED")
         & _has_all(F.map_keys("tags"), FINAL_TAGS)
         & _has_all(F.map_keys("params"), FINAL_PARAMS)
         & _has_all(F.map_keys("metrics"), FINAL_METRICS)

@@ -45,13 +45,13 @@ def read_split(spark: SparkSession, path: str, text: str = "text", label: str =
     return spark.read.format(fmt).load(path).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
 
 
-def read_labelled_text(spark: SparkSession, folder: str) -> DataFrame:
-    """Texts with the labels given for them: `(index, text, label)`."""
+def read_labelled_text(spark: SparkSession, folder: str, how: str = "inner") -> DataFrame:
+    """Texts with the labels given for them: `(index, text, label)`; with `how` left, all texts."""
     texts = spark.read.parquet(f"{folder}/documents.parquet").select(F.col("doc_id").alias("index"), "text")
     labels = spark.read.parquet(f"{folder}/labels.parquet").select(
         F.col("doc_id").alias("index"), F.col("quality").cast("int").alias("label")
     )
-    return texts.join(labels, "index")
+    return texts.join(labels, "index", how)
 
 
 def profile_source(df: DataFrame, text: str = "text", label: str = "label", key: str = "index") -> DataFrame:
@@ -64,6 +64,7 @@ def profile_source(df: DataFrame, text: str = "text", label: str = "label", key:
         F.min(length).cast("bigint").alias("min_length"),
         F.max(length).cast("bigint").alias("max_length"),
         F.count_distinct(F.col(label)).alias("classes"),
+        F.count_if(F.col(label).isNull()).alias("missing_labels"),
         F.min_by(text, key).alias("example_text"),
         F.min_by(label, key).alias("example_label"),
     )

@@ -16,9 +16,12 @@ REQUESTS = "request_id bigint, pos int, text string"
 
 
 def score_stream(
-    stream: DataFrame, model: TextModel, model_run_id: str, out: str, rejects: str, checkpoint: str
+    stream: DataFrame, model: TextModel, model_run_id: str, out: str, rejects: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Write labels below `out` and rejected texts with the reason below `rejects`, one folder per batch."""
+    """Write labels below `out` and rejected texts with the reason below `rejects`, one folder per batch.
+
+    `every` is the time between batches of a feed that goes on; without it, the job ends with what is there.
+    """
 
     def score(batch: DataFrame, batch_id: int) -> None:
         checked = validate_texts(batch.select("request_id", "pos", "text"))
@@ -31,9 +34,5 @@ def score_stream(
             f"{rejects}/batch={batch_id}"
         )
 
-    return (
-        stream.writeStream.foreachBatch(score)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = stream.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
