@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 from textlab.llm.tokens import TextEncoder, Vocabulary, byte_letters, packed
 from textlab.llm.workers import ship, slices
 
-PAIRS_KEPT = 1_000_000
+PAIRS_KEPT = 400_000
 
 
 class Merges:
@@ -163,7 +163,21 @@ def decode_ids(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
 
 
 def digests(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`(key, n_tokens, ids_sha256, decoded_sha256)` of the ids and of what they decode to."""
-    both = decode_ids(encode_texts(documents, path, key, text), path, key)
-    size = F.octet_length("ids") / 4
-    return both.select(F.col(f"`{key}`"), size.cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+    """`(key, n_tokens, ids_sha256, decoded_sha256)` of the ids and of what they decode to.
+
+    Both steps run in one task, so that an executor has one Python worker, with its memos, per core.
+    """
+    ship(documents.sparkSession)
+    vocabulary = Vocabulary.read(documents.sparkSession, path)
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = coder(vocabulary)
+        for batch in slices(batches):
+            ids = [encoder.encode(t) for t in batch.column("text").to_pylist()]
+            texts = [decoder.decode(i) for i in ids]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(ids, pa.binary()), pa.array(texts, pa.string())], ["key", "ids", "text"])
+
+    rows = documents.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    both = rows.mapInArrow(apply, f"key {rows.schema['key'].dataType.simpleString()}, ids binary, text string")
+    size = (F.octet_length("ids") / 4).cast("bigint")
+    return both.select(F.col("key").alias(key), size.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))

@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-MEMO_PIECES = 800_000
+MEMO_PIECES = 600_000
 LONGEST_KEPT = 48  # characters of a piece that is worth keeping
 _NOT_SIMPLE = re.compile(r" (?=\s|\Z)")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
