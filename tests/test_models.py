@@ -142,12 +142,26 @@ def test_model_scores_as_the_vectors_do(spark, docs, model):
     assert got == pytest.approx(want, abs=1e-6)
 
 
+def test_rows_with_equal_or_null_keys_get_labels_of_their_own(spark, model):
+    rows = spark.createDataFrame([(1, 0, "good nice"), (1, 0, "bad sad"), (None, 0, "bad sad"), (None, None, "good nice"), (2, 0, None)], REQUESTS)
+    got = [(r["text"], r["predicted_label"]) for r in scoring.predict_texts(rows, model).collect()]
+    assert len(got) == 5
+    assert {g for g in got if g[0]} == {("good nice", "positive"), ("bad sad", "negative")}
+
+
+def test_tasks_follow_the_gradient():
+    assert L.training_tasks(26 << 20, 250_000) == 7
+    assert L.training_tasks(1 << 30, 1 << 28) == 16
+    assert L.training_tasks(0, 0) == 1
+
+
 def test_final_model(spark, docs):
     found = E.train_final(docs.filter("fold > 0"), docs.filter("fold = 0"), configuration(), "run-1", {"lab_member_id": "M"})
     row = found.run.first()
     assert row["tags"]["lab_run_type"] == "final" and row["params"]["training_size"] == "60"
     assert 0.8 < row["metrics"]["test_macro_f1"] <= 1
     assert found.report.columns == ["index", "text", "true_label", "predicted_label", "category"]
+    assert found.categories.agg({"n": "sum"}).first()[0] == found.report.count()
 
 
 def test_experiment_row_of_an_ablation(spark, docs):

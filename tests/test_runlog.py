@@ -85,6 +85,22 @@ def test_rules(spark):
     ]
 
 
+def test_rules_hold_for_nulls(spark):
+    unset, absent = copy.deepcopy(changed()), copy.deepcopy(changed())
+    unset["preprocessing"].update(stopwords=None, negators=["not"])
+    unset["representation"]["type"] = unset["classifier"]["type"] = None
+    absent["representation"] = absent["classifier"] = None
+    rows = C.validate_configs(table(spark, unset, absent)).orderBy("key").collect()
+    assert rows[0]["violations"] == ["negators_not_allowed", "representation_unknown", "classifier_unknown"]
+    assert rows[1]["violations"] == ["classifier_unknown"]
+
+
+def test_a_json_null_is_no_configuration(spark):
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(["null", "\nnull\n", "{", '{"a": null}', None])], "i int, configuration string")
+    rows = texts.withColumn("artifacts", F.array(F.lit(R.CONFIGURATION_ARTIFACT)))
+    assert [r["i"] for r in rows.filter(R.known_configuration().isNotNull()).collect()] == [3]
+
+
 def test_named_configurations_are_valid(spark):
     grid = C.comparison_grid(table(spark, changed()), VERSION)
     assert grid.count() == 12

@@ -487,9 +487,11 @@ FROM experiments WHERE macro_f1_mean IS NOT NULL QUALIFY row_number() OVER (PART
     found["select_errors"] = over("predictions", "SELECT index FROM chosen", WRONG, CHOSEN)
     found["error_signals"] = over("tweets", f"SELECT index, array_to_string(signals, ',') AS signals FROM ({signalled('tweets', 'index')})")
     found["error_category"] = over("tweets", f"SELECT index, {CATEGORY} AS category FROM ({signalled('tweets', 'index')})")
-    found["category_counts"] = over("predictions", "SELECT position, category, n FROM counted", WRONG, CATEGORISED, COUNTED)
+    found["category_counts_of_all_errors"] = over("predictions", "SELECT position, category, n FROM counted", WRONG, CATEGORISED, COUNTED)
+    of_report = COUNTED.replace("LEFT JOIN categorised k", "LEFT JOIN (SELECT * FROM categorised WHERE index IN (SELECT index FROM chosen)) k")
+    found["category_counts"] = over("predictions", "SELECT position, category, n FROM counted", WRONG, CATEGORISED, CHOSEN, of_report)
     found["top_categories"] = over(
-        "predictions", "SELECT position, category, n FROM counted WHERE n > 0 ORDER BY n DESC, position LIMIT 2", WRONG, CATEGORISED, COUNTED
+        "predictions", "SELECT position, category, n FROM counted WHERE n > 0 ORDER BY n DESC, position LIMIT 2", WRONG, CATEGORISED, CHOSEN, of_report
     )
     found["error_report"] = over(
         "predictions", report + " WHERE w.index IN (SELECT index FROM chosen)", WRONG, CATEGORISED, CHOSEN

@@ -72,9 +72,15 @@ def baseline_clean(rows: DataFrame, *keep: str) -> DataFrame:
     return features.placed_by(rows.select("index", *keep, "text")).select("index", *keep, X.clean_text_b0(F.col("text")).alias("clean"))
 
 
+def clean_in_place(spark: SparkSession, folder: str, split: str | None = None) -> DataFrame:
+    """Cleaned texts where the scan has them, for aggregates that need no place by index."""
+    rows = S.spread(tweets(spark, folder, split).select("index", "text"), "index")
+    return rows.select("index", X.clean_text_b0(F.col("text")).alias("clean"))
+
+
 def lemma_table(spark: SparkSession, folder: str) -> DataFrame:
     """Forms of four or more letters that end in `s` and whose stem is a term, too."""
-    terms = stage(features.distinct_terms(baseline_clean(tweets(spark, folder))), "lemma-terms")
+    terms = stage(features.distinct_terms(clean_in_place(spark, folder)), "lemma-terms")
     forms = terms.filter("length(term) >= 4 AND term LIKE '%s'").select(
         F.col("term").alias("form"), F.expr("substring(term, 1, length(term) - 1)").alias("lemma")
     )
@@ -83,7 +89,7 @@ def lemma_table(spark: SparkSession, folder: str) -> DataFrame:
 
 def token_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """A vector for each term of Latin letters: the embedding at the place its hash points to."""
-    found = features.distinct_terms(baseline_clean(tweets(spark, folder)))
+    found = features.distinct_terms(clean_in_place(spark, folder))
     terms = found.select(F.col("term").alias("token")).filter("token RLIKE '^[a-z]+$'")
     ranked = ranking.global_rank(spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding"), ["vec_id"], "place")
     rows = ranked.count()
@@ -295,7 +301,7 @@ def ngrams(spark, folder):
 
 @query
 def vocabulary(spark, folder):
-    return features.fit_vocabulary(features.distinct_terms(baseline_clean(tweets(spark, folder, "train"))))
+    return features.fit_vocabulary(features.distinct_terms(clean_in_place(spark, folder, "train")))
 
 
 @query
@@ -306,7 +312,7 @@ def bow_unigram(spark, folder):
 
 def _tfidf(spark, folder, ngram_range):
     train = tweets(spark, folder, "train")
-    fitted = features.fit_terms(train, grams(spark, folder, "train", ngram_range))
+    fitted = features.fit_terms(train, features.text_terms(clean_in_place(spark, folder, "train"), ngram_range=ngram_range))
     return features.tfidf(grams(spark, folder, "test", ngram_range), fitted).select("index", "term", round6("value"))
 
 
@@ -488,6 +494,12 @@ def error_category(spark, folder):
 
 
 def counted_categories(spark, folder) -> DataFrame:
+    """Categories of the errors in the report."""
+    return errors.category_counts(errors.error_report(V.spark_view(spark, folder, "predictions")))
+
+
+@query
+def category_counts_of_all_errors(spark, folder):
     wrong = errors.misclassified(V.spark_view(spark, folder, "predictions")).select("index", "text")
     return errors.category_counts(errors.with_category(S.spread(wrong, "index")))
 

@@ -53,6 +53,12 @@ def distinct_terms(docs: DataFrame, text: str = "clean", ngram_range: Sequence[i
     return apart(words, ngrams(F.col("_tokens"), *ngram_range), "term", []).distinct()
 
 
+def text_terms(docs: DataFrame, text: str = "clean", ngram_range: Sequence[int] = (1, 1)) -> DataFrame:
+    """`(term)`, once for each text that has it: enough for document frequencies, and no text moves."""
+    words = docs.select(vector_tokens(F.col(text)).alias("_tokens"))
+    return apart(words, F.array_distinct(ngrams(F.col("_tokens"), *ngram_range)), "term", [])
+
+
 def fit_vocabulary(terms: DataFrame) -> DataFrame:
     """Distinct terms with their alphabetic position: `(term, term_index)`. Nothing is capped."""
     return global_rank(terms.select("term"), ["term"], "term_index")
@@ -70,6 +76,8 @@ class TermTable:
 def document_frequencies(counts: DataFrame, folds: Sequence[int] = ()) -> DataFrame:
     """Texts per term, and with folds the texts outside of each one, in one aggregation.
 
+    `counts` has one row for each term of each text, as `term_counts` and `text_terms` give.
+
     `df_<k>` is the total minus the texts of fold k, so no fold is counted on its own.
     """
     total = F.count(F.lit(1))

@@ -26,6 +26,7 @@ from textlab.operators.ranking import global_rank
 from textlab.session import new_folder, stage
 
 # Every task of a step returns a gradient as long as the weights, so a task should have work worth that.
+LEAST_TASK_BYTES = 4 << 20
 TASK_BYTES = 64 << 20
 _ENTRY_BYTES = 12
 
@@ -92,8 +93,10 @@ def fit_classifier(train: DataFrame, rows: int, classifier: Mapping) -> LinearWe
     return LinearWeights(model.coefficients.toArray(), float(model.intercept))
 
 
-def training_tasks(size: int) -> int:
-    return max(1, -(-size // TASK_BYTES))
+def training_tasks(size: int, weights: int) -> int:
+    """Tasks of a step: each reads about as many bytes as its gradient has, within bounds."""
+    per_task = min(max(8 * weights, LEAST_TASK_BYTES), TASK_BYTES)
+    return max(1, -(-size // per_task))
 
 
 @dataclass(frozen=True)
@@ -110,17 +113,24 @@ class TextModel:
     term_rows: int = 0
     dense_weights: Sequence[float] = ()
 
-    def predict(self, docs: DataFrame, key: str = "index", text: str = "text") -> DataFrame:
-        """`docs` with `margin`, `prediction` and `predicted_label`; every row stays."""
-        prepared = prepare_text(docs.select(key, text), self.configuration, self.resources, key, text)
+    def predict(self, docs: DataFrame, text: str = "text") -> DataFrame:
+        """`docs` with `margin`, `prediction` and `predicted_label`; every row stays.
+
+        A label depends on the text alone, so equal texts are scored once, by their digest. Rows need no key of
+        their own: keys that are null or come twice change nothing.
+        """
+        key = "_content"
+        keyed = docs.withColumn(key, F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+        prepared = prepare_text(keyed.select(key, text).dropDuplicates([key]), self.configuration, self.resources, key, text)
         if self.terms is None:
             margins = _dense_margins(embed(prepared, self.resources, key), self.dense_weights, key)
         else:
             counts = term_counts(prepared, key, "clean", self.configuration["representation"]["ngram_range"])
             unit = self.configuration["representation"]["type"] == "tfidf"
             margins = term_margins(counts, self.terms, self.term_rows, unit, key)
+        margins = stage(margins, "margins")  # read back, so that the join can split a text that comes very often
         margin = F.coalesce("_margin", F.lit(0.0)) + self.intercept
-        return docs.join(margins, key, "left").select(*docs.columns, margin.alias("margin")).select(
+        return keyed.join(margins, key, "left").select(*docs.columns, margin.alias("margin")).select(
             "*",
             (F.col("margin") > 0).cast("int").alias("prediction"),
             model_label((F.col("margin") > 0).cast("int")).alias("predicted_label"),
@@ -241,7 +251,7 @@ class TermTraining:
             self.terms = ranked.withColumn("slot", F.col("slot").cast("int"))
         else:
             self.terms = fitted.table.withColumn("slot", F.pmod(F.xxhash64("term"), F.lit(self.size)).cast("int"))
-        self.tasks = training_tasks(self.counts.count() * _ENTRY_BYTES)
+        self.tasks = training_tasks(self.counts.count() * _ENTRY_BYTES, self.size)
         self.path = new_folder(docs.sparkSession, "features")
         self._write_features()
 
@@ -320,7 +330,7 @@ class VectorTraining:
         rows = self.rows if split is None else self.rows.filter(F.col("fold") != split)
         number = sum(n for fold, n in self.texts.items() if split is None or fold != split)
         train = rows.select("label", array_to_vector("vec").alias("features"))
-        return fit_classifier(train.coalesce(training_tasks(number * self.dim * 8)), number, classifier)
+        return fit_classifier(train.coalesce(training_tasks(number * self.dim * 8, self.dim)), number, classifier)
 
     def score(self, found: LinearWeights, split: int) -> DataFrame:
         inside = self.rows.filter(F.col("fold") == split)

@@ -178,7 +178,8 @@ def protocol_audit(runs: DataFrame) -> DataFrame:
 def known_configuration() -> Column:
     """Configuration text of a run, null unless the artifact is listed and the text is JSON."""
     text = F.when(F.array_contains("artifacts", CONFIGURATION_ARTIFACT), F.col("configuration"))
-    return F.when(F.try_parse_json(text).isNotNull() & (F.trim(text) != "null"), text)
+    parsed = F.try_parse_json(text)
+    return F.when(parsed.isNotNull() & ~F.is_variant_null(parsed), text)
 
 
 def runs_audit(runs: DataFrame) -> DataFrame:

@@ -46,8 +46,7 @@ def validate_requests(texts: DataFrame, requests: DataFrame) -> DataFrame:
 
 def predict_texts(texts: DataFrame, model: TextModel) -> DataFrame:
     """`predicted_label` for texts `(request_id, pos, text)`."""
-    keyed = texts.withColumn("_key", F.concat_ws(":", "request_id", "pos"))
-    return model.predict(keyed, "_key").drop("_key")
+    return model.predict(texts)
 
 
 def score_requests(texts: DataFrame, requests: DataFrame, model: TextModel, model_run_id: str) -> DataFrame:

@@ -175,7 +175,8 @@ def comparison_grid(configs: DataFrame, version: str) -> DataFrame:
 def _rules() -> dict[str, Column]:
     pre, rep, clf = (lambda f: F.col(f"preprocessing.{f}")), (lambda f: F.col(f"representation.{f}")), (lambda f: F.col(f"classifier.{f}"))
     no_negators = F.coalesce(F.size(pre("negators")), F.lit(0)) <= 0
-    keeps_negators = pre("stopwords") == "remove_preserve_negation"
+    keeps_negators = pre("stopwords").eqNullSafe("remove_preserve_negation")
+    known = lambda c, values: F.coalesce(c.isin(*values), F.lit(False))
     counted = rep("type").isin("bow", "tfidf")
     vectors = rep("type") == "spacy_embedding"
     blank = lambda c: F.coalesce(c, F.lit("")) == ""
@@ -189,13 +190,13 @@ def _rules() -> dict[str, Column]:
         "ngram_range_missing": counted & (F.coalesce(F.size(rep("ngram_range")), F.lit(0)) != 2),
         "vector_method_missing": vectors & blank(F.try_element_at(rep("parameters"), F.lit("document_vector_method"))),
         "vector_model_missing": vectors & (blank(rep("spacy_model")) | blank(rep("spacy_model_version"))),
-        "representation_unknown": ~rep("type").isin(*REPRESENTATION_TYPES),
-        "classifier_unknown": ~clf("type").isin(*CLASSIFIER_TYPES),
+        "representation_unknown": F.col("representation").isNotNull() & ~known(rep("type"), REPRESENTATION_TYPES),
+        "classifier_unknown": ~known(clf("type"), CLASSIFIER_TYPES),
     }
 
 
 def validate_configs(configs: DataFrame) -> DataFrame:
-    """Add `violations`: the broken rules in rule order. A part that is null breaks none of its rules."""
+    """Add `violations`: the broken rules in rule order. Without preprocessing or representation their rules do not apply; a classifier has to be there."""
     broken = F.array(*[F.when(rule, F.lit(name)) for name, rule in _rules().items()])
     return configs.withColumn("violations", F.array_compact(broken))
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from textlab.operators.errors import error_report
+from textlab.operators.errors import category_counts, error_report
 from textlab.operators.evaluation import macro_f1_per_fold, t0_scores
 from textlab.operators.learners import Resources, TextModel, cross_validate, load_model, train_model
 from textlab.operators.runlog import (
@@ -91,6 +91,7 @@ class FinalModel:
     predictions: DataFrame
     score: DataFrame
     report: DataFrame
+    categories: DataFrame
     run: DataFrame
 
 
@@ -111,4 +112,4 @@ def train_final(
     score = macro_f1_per_fold(predictions.withColumn("fold", F.lit(0))).select("macro_f1")
     report = error_report(predictions)
     run = final_run(score, run_id, tags, configuration_json(configuration), train.count())
-    return FinalModel(model, predictions, score, report, run)
+    return FinalModel(model, predictions, score, report, category_counts(report), run)
