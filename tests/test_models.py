@@ -149,12 +149,6 @@ def test_rows_with_equal_or_null_keys_get_labels_of_their_own(spark, model):
     assert {g for g in got if g[0]} == {("good nice", "positive"), ("bad sad", "negative")}
 
 
-def test_tasks_follow_the_gradient():
-    assert L.training_tasks(26 << 20, 250_000) == 7
-    assert L.training_tasks(1 << 30, 1 << 28) == 16
-    assert L.training_tasks(0, 0) == 1
-
-
 def test_final_model(spark, docs):
     found = E.train_final(docs.filter("fold > 0"), docs.filter("fold = 0"), configuration(), "run-1", {"lab_member_id": "M"})
     row = found.run.first()
