@@ -51,6 +51,31 @@ def test_emoji_names(spark):
     assert one(spark, "😀", lambda c: X.emoji_to_text(c, {"😀": "smile"})) == " :smile: "
 
 
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("⭐⌚", " :white_medium_star:  :watch: "),
+        ("🇫🇷🇩🇪 🇫", " :flag_fr:  :flag_de:  🇫"),
+        ("👍🏽!", " :thumbs_up_sign_emoji_modifier_fitzpatrick_type-4: !"),
+        ("a👩‍💻b", "a :woman_personal_computer: b"),
+        ("🏳️‍🌈", " :waving_white_flag_rainbow: "),
+        ("5️⃣ 5 #", " :keycap_5:  5 #"),
+        ("✁ x\u200dy", "✁ x\u200dy"),
+        ("", ""),
+    ],
+)
+def test_emoji_sequences_are_one_emoji(spark, text, want):
+    assert one(spark, text, X.emoji_to_text) == want
+
+
+def test_emoji_table_of_the_caller(spark):
+    table = {"⭐": "star", "👩‍💻": "coder", "👩": "woman", "❤️": "heart", "🏳️‍🌈": "pride", "[x]": "box"}
+    named = lambda c: X.emoji_to_text(c, table)
+    assert one(spark, "⭐👩‍💻👩❤❤️🏳️‍🌈🏳‍🌈😀[x", named) == " :star:  :coder:  :woman:  :heart:  :heart:  :pride:  :pride: 😀[x"
+    assert one(spark, "[x]a", named) == " :box: a"
+    assert one(spark, None, named) is None
+
+
 def test_word_tokens(spark):
     assert one(spark, "I don't, it's DON'T", lambda c: K.tokenize_words(c)) == ["I", "do", "n't", ",", "it", "'s", "DO", "N'T"]
 

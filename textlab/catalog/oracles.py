@@ -65,8 +65,17 @@ def squeezed(source: str, text: str, keep: str) -> str:
     )
 
 
+# The emoji of the `tweets` view and their names.
+EMOJI_NAMES = {
+    "❤️": "heavy_black_heart", "😀": "grinning_face", "👍🏽": "thumbs_up_sign_emoji_modifier_fitzpatrick_type-4", "🇫🇷": "flag_fr",
+    "⭐": "white_medium_star", "⌚": "watch", "👩‍💻": "woman_personal_computer",
+}
+
+
 def emoji(text: str) -> str:
-    return f"replace(replace({text}, '❤️', ' :heavy_black_heart: '), '😀', ' :grinning_face: ')"
+    for key, name in EMOJI_NAMES.items():
+        text = f"replace({text}, '{key}', ' :{name}: ')"
+    return text
 
 
 def words(text: str) -> str:

@@ -32,7 +32,8 @@ VIEWS = {
     "tweets": """
 SELECT doc_id AS index, lang,
   concat(CASE WHEN doc_id % 3 = 0 THEN concat('@Bob_', doc_id % 50, ' ') ELSE '' END, text,
-    CASE doc_id % 7 WHEN 0 THEN concat(' https://ex.com/a?b=', doc_id) WHEN 1 THEN ' WWW.Site.org/x' WHEN 2 THEN ' ❤️ it' ELSE '' END,
+    CASE doc_id % 7 WHEN 0 THEN concat(' https://ex.com/a?b=', doc_id) WHEN 1 THEN ' WWW.Site.org/x' WHEN 2 THEN ' ❤️ it'
+      WHEN 3 THEN ' 👍🏽 🇫🇷 ⭐ ⌚ 👩‍💻 ✁' ELSE '' END,
     CASE doc_id % 6 WHEN 0 THEN ' soooo  GOOD!!!!' WHEN 1 THEN ' 😀 omg' WHEN 2 THEN ' I don''t like it but ok'
       WHEN 3 THEN ' yeah right #fun' WHEN 4 THEN ' really never cannot' ELSE '' END) AS text,
   CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS label,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-from textlab.functions.patterns import EMOJI_RANGES
+from textlab.functions.patterns import FLAG_LETTERS, emoji_ranges
 
 # Negators that survive stop-word removal.
 NEGATORS = [
@@ -31,11 +31,12 @@ STOP_WORDS = (
 
 
 def emoji_names() -> dict[str, str]:
-    """Single code point -> Unicode character name in lower case with underscores."""
+    """Single code point -> Unicode character name in lower case with underscores; a flag letter -> the letter."""
     names = {}
-    for first, last in EMOJI_RANGES:
+    for first, last in emoji_ranges():
         for point in range(first, last + 1):
             name = unicodedata.name(chr(point), "")
             if name:
                 names[chr(point)] = name.lower().replace(" ", "_")
-    return names
+    first, last = FLAG_LETTERS
+    return names | {chr(point): chr(ord("a") + point - first) for point in range(first, last + 1)}
