@@ -227,7 +227,7 @@ def test_stream_equals_batch_and_restarts(spark, requests, model):
 
     def run():
         stream = spark.readStream.schema(REQUESTS).option("maxFilesPerTrigger", 1).parquet(feed)
-        score_stream(stream, model, "run-7", out, rejects, progress).awaitTermination()
+        score_stream(stream, lambda: (model, "run-7"), out, rejects, progress).awaitTermination()
         return spark.read.parquet(out), spark.read.parquet(rejects)
 
     scored, refused = run()
@@ -238,3 +238,16 @@ def test_stream_equals_batch_and_restarts(spark, requests, model):
     assert refused.count() == good.filter("NOT ok").count()
     again, _ = run()
     assert again.count() == scored.count()
+
+
+def test_stream_asks_for_the_champion_of_each_batch(spark, model):
+    feed, out, rejects, progress = (new_folder(spark, n) for n in ("feed", "out", "rejects", "progress"))
+    for i in range(3):
+        spark.createDataFrame([(i, 0, "good")], REQUESTS).coalesce(1).write.mode("append").parquet(feed)
+    runs = iter(["run-1", "run-1", "run-2"])
+    stream = spark.readStream.schema(REQUESTS).option("maxFilesPerTrigger", 1).parquet(feed)
+    score_stream(stream, lambda: (model, next(runs)), out, rejects, progress).awaitTermination()
+    assert sorted(r["model_run_id"] for r in spark.read.parquet(out).collect()) == ["run-1", "run-1", "run-2"]
+    stopped = score_stream(spark.readStream.schema(REQUESTS).parquet(feed), lambda: None, out + "-none", rejects + "-none", progress + "-none")
+    with pytest.raises(Exception, match="no model to score with"):
+        stopped.awaitTermination()

@@ -8,7 +8,7 @@ from __future__ import annotations
 import json
 
 from textlab.catalog import views as V
-from textlab.catalog.queries import SAMPLE_FRACTION
+from textlab.catalog.queries import SAMPLE_FRACTION, SERVED
 from textlab.functions import signals as G
 from textlab.functions.words import NEGATORS, STOP_WORDS
 from textlab.operators import runlog as R, scoring
@@ -315,6 +315,18 @@ DIFFERENCES = {
 }
 
 
+LABEL_OF_MARGIN = "CASE WHEN coalesce(margin, 0) + 0.5 > 0 THEN 'positive' ELSE 'negative' END"
+
+
+def fixed(asked: str, key: str) -> list[str]:
+    """Margins of the texts of `asked` by the weights that the hash gives to the terms of train."""
+    return [
+        asked,
+        f"weighted AS (SELECT term, {H('term')} % 7 - 3 AS weight FROM (SELECT DISTINCT unnest({terms(clean_b0('text'))}) AS term FROM train))",
+        f"margins AS (SELECT {key}, sum(weight) AS margin FROM (SELECT {key}, unnest({terms(clean_b0('text'))}) AS term FROM asked) JOIN weighted USING (term) GROUP BY {key})",
+    ]
+
+
 def all_oracles() -> dict[str, str]:
     problem = (
         f"CASE WHEN text IS NULL THEN 'null_text' WHEN NOT regexp_matches(text, '{NOT_SPACE}') THEN 'blank_text' "
@@ -600,4 +612,22 @@ FROM (SELECT DISTINCT name FROM models UNION ALL SELECT 'model_5') w LEFT JOIN n
     SELECT l.request_id, count(c.request_id) AS texts, count(c.reason) AS bad
     FROM request_list l LEFT JOIN (SELECT request_id, {problem} AS reason FROM requests) c ON l.request_id = c.request_id GROUP BY l.request_id))""",
     )
+
+    # scoring with fixed weights
+    found["predict_labels"] = over("tweets", f"SELECT index, {LABEL_OF_MARGIN} AS predicted_label FROM asked LEFT JOIN margins USING (index)", TRAIN, *fixed("asked AS (SELECT index, text FROM tweets WHERE split = 'test')", "index"))
+    good = f"asked AS (SELECT request_id, pos, text FROM (SELECT *, {problem} AS reason FROM requests) WHERE reason IS NULL)"
+    labelled = f"scored AS (SELECT request_id, pos, {LABEL_OF_MARGIN} AS label FROM asked LEFT JOIN margins USING (request_id, pos))"
+    accepted = f"accepted AS (SELECT request_id FROM (SELECT request_id, {problem} AS reason FROM requests) GROUP BY request_id HAVING count(*) <= {scoring.MAX_TEXTS} AND count(reason) = 0)"
+    found["score_requests"] = over(
+        "tweets requests request_list",
+        """SELECT request_id, 'run-final' AS model_run_id, string_agg(label, ',' ORDER BY pos) AS predictions
+FROM scored WHERE request_id IN (SELECT request_id FROM accepted) AND request_id IN (SELECT request_id FROM request_list) GROUP BY request_id""",
+        TRAIN, *fixed(good, "request_id, pos"), labelled, accepted,
+    )
+    found["score_stream"] = over(
+        "tweets requests models",
+        f"""SELECT request_id, pos, (SELECT arg_max(run_id, version) FROM models WHERE name = '{SERVED}' AND alias = 'champion') AS model_run_id, label AS outcome FROM scored
+UNION ALL SELECT request_id, pos, NULL, reason FROM (SELECT *, {problem} AS reason FROM requests) WHERE reason IS NOT NULL""",
+        TRAIN, *fixed(good, "request_id, pos"), labelled,
+    )
     return found

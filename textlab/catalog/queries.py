@@ -23,6 +23,7 @@ from textlab.streaming.scoring import REQUESTS, score_stream as start_score_stre
 
 SAMPLE_FRACTION = 0.6
 FOLDS = [0, 1, 2]
+SERVED = "model_0"
 FULL_PREPROCESSING = {
     "lowercase": True, "url": "drop", "mention": "token:user", "whitespace": "normalize",
     "stopwords": "remove_preserve_negation", "negators": NEGATORS, "lemmatize": True,
@@ -382,8 +383,23 @@ def run_configuration_vectors(spark, folder):
     return cv_scores(spark, folder, "R_SPACY", resources=resources)
 
 
+def fixed_model(spark, folder) -> learners.TextModel:
+    """Baseline cleaning and counts; the weight of a train term is a whole number from its hash, so margins are exact."""
+    counted = features.text_terms(clean_in_place(spark, folder, "train")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    weight = (F.pmod(ranking.seeded_hash(F.col("term")), F.lit(7)) - 3).cast("double").alias("weight")
+    terms = stage(counted.select("term", "df", F.lit(1.0).alias("idf"), weight), "fixed-terms")
+    return learners.TextModel(C.baseline_configuration(V.VERSION), 0.5, learners.Resources(), terms, terms.count())
+
+
 @query
 def predict_labels(spark, folder):
+    """Labels by a model with fixed weights."""
+    return fixed_model(spark, folder).predict(tweets(spark, folder, "test").select("index", "text")).select("index", "predicted_label")
+
+
+@query
+def predict_fitted(spark, folder):
+    """Labels by a model that is fitted first."""
     model = learners.train_model(tweets(spark, folder, "train"), C.named_configuration("R_TFIDF_UNI", V.VERSION))
     return model.predict(tweets(spark, folder, "test").select("index", "text")).select("index", "predicted_label")
 
@@ -620,22 +636,25 @@ def validate_requests(spark, folder):
     return scoring.validate_requests(requests(spark, folder), V.spark_view(spark, folder, "request_list"))
 
 
-def serving_model(spark, folder) -> learners.TextModel:
-    return learners.train_model(tweets(spark, folder, "train"), C.baseline_configuration(V.VERSION))
-
-
 @query
 def score_requests(spark, folder):
     listed = V.spark_view(spark, folder, "request_list")
-    found = scoring.score_requests(requests(spark, folder), listed, serving_model(spark, folder), "run-final")
+    found = scoring.score_requests(requests(spark, folder), listed, fixed_model(spark, folder), "run-final")
     return found.select("request_id", "model_run_id", joined("predictions"))
 
 
 @query
 def score_stream(spark, folder):
-    feed, out, rejects = (new_folder(spark, name) for name in ("feed", "scores", "rejects"))
+    """The feed of all requests, scored by the champion: saved by run id, registered, resolved for each batch."""
+    feed, out, rejects, saved = (new_folder(spark, name) for name in ("feed", "scores", "rejects", "models"))
+    registered = V.spark_view(spark, folder, "models").filter(F.col("name") == SERVED)
+    newest = runlog.champion(registered).first()
+    if newest is not None:
+        learners.save_model(fixed_model(spark, folder), f"{saved}/{newest['run_id']}")
     requests(spark, folder).write.parquet(feed)
     stream = spark.readStream.schema(REQUESTS).parquet(feed)
-    start_score_stream(stream, serving_model(spark, folder), "run-final", out, rejects, new_folder(spark, "progress")).awaitTermination()
-    scored = spark.read.parquet(out).select("request_id", "pos", F.col("predicted_label").alias("outcome"))
-    return scored.unionAll(spark.read.parquet(rejects).select("request_id", "pos", F.col("reason").alias("outcome")))
+    serving = lambda: E.champion_model(registered, SERVED, saved)
+    start_score_stream(stream, serving, out, rejects, new_folder(spark, "progress")).awaitTermination()
+    scored = spark.read.parquet(out).select("request_id", "pos", "model_run_id", F.col("predicted_label").alias("outcome"))
+    refused = spark.read.parquet(rejects).select("request_id", "pos", F.lit(None).cast("string").alias("model_run_id"), F.col("reason").alias("outcome"))
+    return scored.unionAll(refused)

@@ -6,6 +6,8 @@ a failure writes the same folders again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,14 +18,25 @@ REQUESTS = "request_id bigint, pos int, text string"
 
 
 def score_stream(
-    stream: DataFrame, model: TextModel, model_run_id: str, out: str, rejects: str, checkpoint: str, every: str | None = None
+    stream: DataFrame,
+    serving: Callable[[], tuple[TextModel, str] | None],
+    out: str,
+    rejects: str,
+    checkpoint: str,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Write labels below `out` and rejected texts with the reason below `rejects`, one folder per batch.
 
-    `every` is the time between batches of a feed that goes on; without it, the job ends with what is there.
+    `serving` gives the model and its run id and is asked once for each batch, so a champion that changes counts from the
+    next batch on; without a model the batch fails and its records stay unread. `every` is the time between batches of a
+    feed that goes on; without it, the job ends with what is there.
     """
 
     def score(batch: DataFrame, batch_id: int) -> None:
+        served = serving()
+        if served is None:
+            raise LookupError("no model to score with")
+        model, model_run_id = served
         checked = validate_texts(batch.select("request_id", "pos", "text"))
         good = checked.filter("ok").select("request_id", "pos", "text")
         labels = predict_texts(good, model).select(
