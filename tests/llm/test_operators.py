@@ -166,6 +166,38 @@ def test_links_hold_over_blocks_and_hot_buckets(spark):
     assert groups(find) == groups(expected.get)
 
 
+def test_links_in_groups_do_not_depend_on_their_size(spark):
+    rng = random.Random(2)
+    rows = []
+    for group, count in ((1, 300), (2, 30), (3, 1), (4, 2)):
+        centre = rng.getrandbits(63)
+        rows += [(len(rows) + i, group, centre ^ sum(1 << b for b in rng.sample(range(63), rng.randint(0, 12)))) for i in range(count)]
+    prints = spark.createDataFrame(rows, "node bigint, group bigint, value bigint").withColumn("node", F.col("node") * 7919)
+    by_node = {n * 7919: (g, v) for n, g, v in rows}
+    near = lambda a, b: by_node[a][0] == by_node[b][0] and (by_node[a][1] ^ by_node[b][1]).bit_count() <= 12
+
+    def classes(links):
+        root = {n: n for n in by_node}
+
+        def find(n):
+            while root[n] != n:
+                n = root[n]
+            return n
+
+        for a, b in links:
+            assert near(a, b)
+            root[find(a)] = find(b)
+        least = {}
+        for n in sorted(by_node):
+            least.setdefault(find(n), n)
+        return {n: least[find(n)] for n in by_node}
+
+    expected = classes([(a, b) for a in by_node for b in by_node if a < b and near(a, b)])
+    for block in (20, 2048):
+        got = simhash.near_links_in_groups(prints, 12, block).collect()
+        assert classes([(r.a, r.b) for r in got]) == expected
+
+
 def test_similar_groups_keep_one_of_each(docs, rows):
     got = simhash.similar_groups(docs).collect()
     shingles = lambda t: {tuple(w[i : i + 5]) for w in [words((t or "").lower())] for i in range(max(1, len(w) - 4))} if words(t) else set()
