@@ -172,7 +172,7 @@ def test_links_in_groups_do_not_depend_on_their_size(spark):
     for group, count in ((1, 300), (2, 30), (3, 1), (4, 2)):
         centre = rng.getrandbits(63)
         rows += [(len(rows) + i, group, centre ^ sum(1 << b for b in rng.sample(range(63), rng.randint(0, 12)))) for i in range(count)]
-    prints = spark.createDataFrame(rows, "node bigint, group bigint, value bigint").withColumn("node", F.col("node") * 7919)
+    prints = spark.createDataFrame(rows, "node bigint, group bigint, value bigint").withColumn("node", F.col("node") * 7919).withColumn("sketch", F.array("value", "node"))
     by_node = {n * 7919: (g, v) for n, g, v in rows}
     near = lambda a, b: by_node[a][0] == by_node[b][0] and (by_node[a][1] ^ by_node[b][1]).bit_count() <= 12
 

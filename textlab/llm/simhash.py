@@ -141,9 +141,12 @@ def _spanning(a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.ndarray:
 
 
 def _link_sorted(budget: int, pairs_at_once: int = 1 << 20):
-    """Links of the rows `(bucket, left, right, side, node, value)` that share (bucket, left, right), sorted by these."""
+    """Links of the rows `(bucket, left, right, side, node, value)` that share (bucket, left, right), sorted by these.
 
-    def run(group, side, bucket, node, value):
+    Rows may have a `sketch` of more fingerprints: the closest pairs are then those of the least distance over all of these.
+    """
+
+    def run(group, side, bucket, node, value, sketch):
         found, held = [], 0
         bounds = np.concatenate([np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])), [len(group)]])
         ends = np.repeat(bounds[1:], np.diff(bounds))
@@ -161,14 +164,17 @@ def _link_sorted(budget: int, pairs_at_once: int = 1 << 20):
                 at, difference = at[ok], difference[ok]
                 distance = np.bitwise_count(difference)
                 ok = distance <= budget
-                found.append((node[at[ok]], node[at[ok] + step], distance[ok]))
+                at, distance = at[ok], distance[ok].astype(np.int64)
+                if sketch is not None:
+                    distance = np.bitwise_count(sketch[at] ^ sketch[at + step]).sum(axis=1, dtype=np.int64)
+                found.append((node[at], node[at + step], distance))
                 held += int(ok.sum())
                 if held > 4 * pairs_at_once:
                     a, b, d = (np.concatenate(c) for c in zip(*found))
                     kept = _spanning(a, b, d)
                     found, held = [(a[kept], b[kept], d[kept])], len(kept)
             step += 1
-        a, b, d = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8))
+        a, b, d = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
         kept = _spanning(a, b, d)
         return a[kept], b[kept]
 
@@ -184,7 +190,10 @@ def _link_sorted(budget: int, pairs_at_once: int = 1 << 20):
             change = (bucket[1:] != bucket[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])
             group = np.cumsum(np.concatenate([[True], change]))
             whole = len(group) if batch is None else int(np.searchsorted(group, group[-1]))
-            a, b = run(group[:whole], side[:whole], bucket[:whole], node[:whole], value[:whole].view(np.uint64))
+            sketch = None
+            if "sketch" in rest.schema.names:
+                sketch = rest.slice(0, whole).column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(whole, -1)
+            a, b = run(group[:whole], side[:whole], bucket[:whole], node[:whole], value[:whole].view(np.uint64), sketch)
             rest = rest.slice(whole).combine_chunks()
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -206,7 +215,7 @@ def near_links(prints: DataFrame, budget: int = 4, block: int = 2048) -> DataFra
 
 
 def near_links_in_groups(prints: DataFrame, budget: int, block: int = 2048) -> DataFrame:
-    """The same for `(node, group, value)` and pairs of the same group: linear in the rows as long as groups are small.
+    """The same for `(node, group, value, sketch)` and pairs of the same group: linear in the rows as long as groups are small.
 
     A group of at most `block` rows is one bucket, compared as a whole. A larger one is cut into the buckets of the pigeonring,
     which lose no pair within the budget; so the size of a group changes the work, not the links.
@@ -215,14 +224,14 @@ def near_links_in_groups(prints: DataFrame, budget: int, block: int = 2048) -> D
     sizes = stage(sizes, "group-sizes")
     rows = stage(prints.join(sizes, "group"), "grouped")
     of_group = lambda low: F.shiftleft(F.xxhash64("group"), 10).bitwiseOR(low)
-    small = rows.filter(F.col("size") <= block).select("node", "value", of_group(F.lit(_WHOLE)).alias("bucket"))
-    keyed = rows.filter(F.col("size") > block).select("node", "value", "group", F.explode(bucket_keys(F.col("value"), F.lit(0), budget)).alias("key"))
+    small = rows.filter(F.col("size") <= block).select("node", "value", "sketch", of_group(F.lit(_WHOLE)).alias("bucket"))
+    keyed = rows.filter(F.col("size") > block).select("node", "value", "sketch", "group", F.explode(bucket_keys(F.col("value"), F.lit(0), budget)).alias("key"))
     mixed_key = F.shiftleft(F.xxhash64("group", "key"), 10).bitwiseOR(F.col("key").bitwiseAND(F.lit(31)))
-    return _bucket_links(small.unionAll(keyed.select("node", "value", mixed_key.alias("bucket"))), budget, block)
+    return _bucket_links(small.unionAll(keyed.select("node", "value", "sketch", mixed_key.alias("bucket"))), budget, block)
 
 
 def _bucket_links(keyed: DataFrame, budget: int, block: int) -> DataFrame:
-    """Links inside the buckets of `(node, value, bucket)`; the low bits of a bucket tell where its chains start.
+    """Links inside the buckets of `(node, value, bucket)`, perhaps with a sketch; the low bits of a bucket tell where its chains start.
 
     A bucket is sized by a count that combines before its shuffle. Its rows fall into blocks by hash; a row goes to one
     task for each pair of blocks it is in.
@@ -240,6 +249,7 @@ def _bucket_links(keyed: DataFrame, budget: int, block: int) -> DataFrame:
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
         "node",
         "value",
+        *[c for c in keyed.columns if c == "sketch"],
     )
     sorted_rows = rows.repartition("bucket", "left", "right").sortWithinPartitions("bucket", "left", "right")
     return sorted_rows.mapInArrow(_link_sorted(budget), "a bigint, b bigint").distinct()
@@ -303,7 +313,7 @@ def similar_groups(
 
     Each table hashes the shingles anew. Candidates: pairs that share the least hash of a table and are near in its
     fingerprint, by the pigeonring. At a similarity of 0.8 a table has 0.8 x 0.84 of the pairs, six tables all but
-    one in 700. The spanning links of the candidates, closest first, are kept if the Jaccard similarity of the whole
+    one in 700. The spanning links of the candidates, closest first over all tables, are kept if the Jaccard similarity of the whole
     shingle sets is `similarity` or more. Texts with the same fingerprints and least hashes throughout are one node. Texts without words are similar to each other.
     `content` is the XXH64 of the text; the row with the least (key, content) of a component stays, one without a key only if none has one.
     """
@@ -314,8 +324,8 @@ def similar_groups(
     staged = stage(found.withColumn("node", F.xxhash64("tables", "least")), "fingerprints")
     place = F.struct(F.isnull("key").alias("no_key"), "key", "content")
     nodes = stage(staged.groupBy("node").agg(F.min(place).alias("least"), F.first(F.arrays_zip("tables", F.col("least").alias("hashes"))).alias("tables")), "nodes")
-    valued = nodes.select("node", F.posexplode("tables").alias("table", "x"))
-    valued = valued.select("node", F.xxhash64("table", "x.hashes").alias("group"), F.col("x.tables").alias("value"))
+    valued = nodes.select("node", F.col("tables.tables").alias("sketch"), F.posexplode("tables").alias("table", "x"))
+    valued = valued.select("node", F.xxhash64("table", "x.hashes").alias("group"), F.col("x.tables").alias("value"), "sketch")
     links = stage(near_links_in_groups(valued, budget), "candidates")
     ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
     wanted = nodes.select("node", F.col("least.key").alias("of_key"), F.col("least.content").alias("of_content")).join(ends, "node")
