@@ -193,8 +193,8 @@ def test_links_in_groups_do_not_depend_on_their_size(spark):
         return {n: least[find(n)] for n in by_node}
 
     expected = classes([(a, b) for a in by_node for b in by_node if a < b and near(a, b)])
-    for block in (20, 2048):
-        got = simhash.near_links_in_groups(prints, 12, block).collect()
+    for block, whole in ((20, 20), (50, 1000), (2048, 16_384)):
+        got = simhash.near_links_in_groups(prints, 12, block, whole).collect()
         assert classes([(r.a, r.b) for r in got]) == expected
 
 

@@ -214,18 +214,18 @@ def near_links(prints: DataFrame, budget: int = 4, block: int = 2048) -> DataFra
     return _bucket_links(valued.select("node", "value", F.explode(bucket_keys(F.col("value"), F.col("table"), budget)).alias("bucket")), budget, block)
 
 
-def near_links_in_groups(prints: DataFrame, budget: int, block: int = 2048) -> DataFrame:
+def near_links_in_groups(prints: DataFrame, budget: int, block: int = 2048, whole: int = 16_384) -> DataFrame:
     """The same for `(node, group, value, sketch)` and pairs of the same group: linear in the rows as long as groups are small.
 
-    A group of at most `block` rows is one bucket, compared as a whole. A larger one is cut into the buckets of the pigeonring,
+    A group of at most `whole` rows is one bucket, compared in blocks. A larger one is cut into the buckets of the pigeonring,
     which lose no pair within the budget; so the size of a group changes the work, not the links.
     """
     sizes = prints.groupBy("group").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     sizes = stage(sizes, "group-sizes")
     rows = stage(prints.join(sizes, "group"), "grouped")
     of_group = lambda low: F.shiftleft(F.xxhash64("group"), 10).bitwiseOR(low)
-    small = rows.filter(F.col("size") <= block).select("node", "value", "sketch", of_group(F.lit(_WHOLE)).alias("bucket"))
-    keyed = rows.filter(F.col("size") > block).select("node", "value", "sketch", "group", F.explode(bucket_keys(F.col("value"), F.lit(0), budget)).alias("key"))
+    small = rows.filter(F.col("size") <= whole).select("node", "value", "sketch", of_group(F.lit(_WHOLE)).alias("bucket"))
+    keyed = rows.filter(F.col("size") > whole).select("node", "value", "sketch", "group", F.explode(bucket_keys(F.col("value"), F.lit(0), budget)).alias("key"))
     mixed_key = F.shiftleft(F.xxhash64("group", "key"), 10).bitwiseOR(F.col("key").bitwiseAND(F.lit(31)))
     return _bucket_links(small.unionAll(keyed.select("node", "value", "sketch", mixed_key.alias("bucket"))), budget, block)
 
