@@ -215,6 +215,51 @@ def test_similar_groups_keep_one_of_each(docs, rows):
     assert len(staying) == len({r.component_id for r in got}) and all(a == b for a, b, _ in staying)
 
 
+def similar_texts():
+    """Groups with a common body and own tails, and chains of texts that each change some words: many pairs between 0.75 and 0.85."""
+    rng = random.Random(11)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    out = []
+    for _ in range(2):
+        body = line(300)
+        out += [f"{body} {line(rng.randint(25, 45))}" for _ in range(60)]
+    for _ in range(12):
+        chain = line(200).split()
+        for _ in range(6):
+            out.append(" ".join(chain))
+            at = rng.randrange(150)
+            chain[at : at + rng.randint(8, 24)] = line(14).split()
+    rng.shuffle(out)
+    return out
+
+
+def brute_similar(of_text, similarity=0.8):
+    """Least id of the component of each id, by the Jaccard similarity of all pairs."""
+    sets = {}
+    for key, text in of_text.items():
+        w = words(text.lower())
+        sets[key] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and find(a) != find(b) and (sets[a] == sets[b] or len(sets[a] & sets[b]) * 10 >= round(similarity * 10) * len(sets[a] | sets[b])):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return {k: find(k) for k in sets}
+
+
+def test_similar_groups_lose_no_link_to_a_pair_that_fails(spark):
+    of_text = dict(enumerate(similar_texts()))
+    docs = spark.createDataFrame(list(of_text.items()), "doc_id bigint, text string")
+    assert {r.doc_id: r.component_id for r in simhash.similar_groups(docs).collect()} == brute_similar(of_text)
+
+
 # --- secrets
 
 

@@ -141,12 +141,9 @@ def _spanning(a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.ndarray:
 
 
 def _link_sorted(budget: int, pairs_at_once: int = 1 << 20):
-    """Links of the rows `(bucket, left, right, side, node, value)` that share (bucket, left, right), sorted by these.
+    """Links of the rows `(bucket, left, right, side, node, value)` that share (bucket, left, right), sorted by these."""
 
-    Rows may have a `sketch` of more fingerprints: the closest pairs are then those of the least distance over all of these.
-    """
-
-    def run(group, side, bucket, node, value, sketch):
+    def run(group, side, bucket, node, value):
         found, held = [], 0
         bounds = np.concatenate([np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])), [len(group)]])
         ends = np.repeat(bounds[1:], np.diff(bounds))
@@ -165,8 +162,6 @@ def _link_sorted(budget: int, pairs_at_once: int = 1 << 20):
                 distance = np.bitwise_count(difference)
                 ok = distance <= budget
                 at, distance = at[ok], distance[ok].astype(np.int64)
-                if sketch is not None:
-                    distance = np.bitwise_count(sketch[at] ^ sketch[at + step]).sum(axis=1, dtype=np.int64)
                 found.append((node[at], node[at + step], distance))
                 held += int(ok.sum())
                 if held > 4 * pairs_at_once:
@@ -190,10 +185,7 @@ def _link_sorted(budget: int, pairs_at_once: int = 1 << 20):
             change = (bucket[1:] != bucket[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])
             group = np.cumsum(np.concatenate([[True], change]))
             whole = len(group) if batch is None else int(np.searchsorted(group, group[-1]))
-            sketch = None
-            if "sketch" in rest.schema.names:
-                sketch = rest.slice(0, whole).column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(whole, -1)
-            a, b = run(group[:whole], side[:whole], bucket[:whole], node[:whole], value[:whole].view(np.uint64), sketch)
+            a, b = run(group[:whole], side[:whole], bucket[:whole], node[:whole], value[:whole].view(np.uint64))
             rest = rest.slice(whole).combine_chunks()
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -215,23 +207,23 @@ def near_links(prints: DataFrame, budget: int = 4, block: int = 2048) -> DataFra
 
 
 def near_links_in_groups(prints: DataFrame, budget: int, block: int = 2048, whole: int = 16_384) -> DataFrame:
-    """The same for `(node, group, value, sketch)` and pairs of the same group: linear in the rows as long as groups are small.
+    """The same for `(node, group, value)` and pairs of the same group: linear in the rows as long as groups are small.
 
     A group of at most `whole` rows is one bucket, compared in blocks. A larger one is cut into the buckets of the pigeonring,
-    which lose no pair within the budget; so the size of a group changes the work, not the links.
+    which lose no pair within the budget; so the size of a group changes the work, not what the links connect.
     """
     sizes = prints.groupBy("group").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     sizes = stage(sizes, "group-sizes")
     rows = stage(prints.join(sizes, "group"), "grouped")
     of_group = lambda low: F.shiftleft(F.xxhash64("group"), 10).bitwiseOR(low)
-    small = rows.filter(F.col("size") <= whole).select("node", "value", "sketch", of_group(F.lit(_WHOLE)).alias("bucket"))
-    keyed = rows.filter(F.col("size") > whole).select("node", "value", "sketch", "group", F.explode(bucket_keys(F.col("value"), F.lit(0), budget)).alias("key"))
+    small = rows.filter(F.col("size") <= whole).select("node", "value", of_group(F.lit(_WHOLE)).alias("bucket"))
+    keyed = rows.filter(F.col("size") > whole).select("node", "value", "group", F.explode(bucket_keys(F.col("value"), F.lit(0), budget)).alias("key"))
     mixed_key = F.shiftleft(F.xxhash64("group", "key"), 10).bitwiseOR(F.col("key").bitwiseAND(F.lit(31)))
-    return _bucket_links(small.unionAll(keyed.select("node", "value", "sketch", mixed_key.alias("bucket"))), budget, block)
+    return _bucket_links(small.unionAll(keyed.select("node", "value", mixed_key.alias("bucket"))), budget, block)
 
 
 def _bucket_links(keyed: DataFrame, budget: int, block: int) -> DataFrame:
-    """Links inside the buckets of `(node, value, bucket)`, perhaps with a sketch; the low bits of a bucket tell where its chains start.
+    """Links inside the buckets of `(node, value, bucket)`; the low bits of a bucket tell where its chains start.
 
     A bucket is sized by a count that combines before its shuffle. Its rows fall into blocks by hash; a row goes to one
     task for each pair of blocks it is in.
@@ -240,19 +232,23 @@ def _bucket_links(keyed: DataFrame, budget: int, block: int) -> DataFrame:
     sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     sizes = stage(sizes, "buckets")  # aggregates are read back, so that the joins can split a frequent key
     blocks = F.ceil(F.col("size") / block).cast("int")
-    placed = keyed.join(sizes, "bucket").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = _pairs_of_blocks(keyed.join(sizes, "bucket").withColumn("blocks", blocks), "value")
+    return rows.mapInArrow(_link_sorted(budget), "a bigint, b bigint").distinct()
+
+
+def _pairs_of_blocks(placed: DataFrame, carried: str) -> DataFrame:
+    """`(bucket, left, right, side, node, carried)` sorted by the first three: the rows of each pair of blocks of a bucket."""
+    own = placed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = other.select(
         "bucket",
         F.least("own", "other").alias("left"),
         F.greatest("own", "other").alias("right"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
         "node",
-        "value",
-        *[c for c in keyed.columns if c == "sketch"],
+        carried,
     )
-    sorted_rows = rows.repartition("bucket", "left", "right").sortWithinPartitions("bucket", "left", "right")
-    return sorted_rows.mapInArrow(_link_sorted(budget), "a bigint, b bigint").distinct()
+    return rows.repartition("bucket", "left", "right").sortWithinPartitions("bucket", "left", "right")
 
 
 def near_components(prints: DataFrame, key: str = "doc_id", budget: int = 4) -> DataFrame:
@@ -306,15 +302,125 @@ def _shingles(width: int):
     return apply
 
 
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    lengths = ends - starts
+    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+
+
+def prefix_lengths(sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Sets of that similarity share one of so many first members, whatever the order, if it is the same for all sets."""
+    return sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1
+
+
+def similar_pairs(flat: np.ndarray, sizes: np.ndarray, side: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs of sets that connect all pairs of that Jaccard similarity; each is such a pair, by the whole sets.
+
+    The sets lie in `flat` one after the other; none is empty. Pairs are of side 2, or of sides 0 and 1. From each set the search goes to those not yet
+    reached that share one of its rarest members, so a group of near copies costs its size and not its square.
+    """
+    count = len(sizes)
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    owner = np.repeat(np.arange(count), sizes)
+    members, code, found = np.unique(flat, return_inverse=True, return_counts=True)
+    rank = np.empty(len(members), np.int64)
+    rank[np.argsort(found, kind="stable")] = np.arange(len(members))
+    code = rank[code]
+    code = code[np.lexsort((code, owner))]
+    prefix = prefix_lengths(sizes, similarity)
+    listed = np.flatnonzero(np.arange(len(flat)) - first[owner] < prefix[owner])
+    listed = listed[np.argsort(code[listed], kind="stable")]
+    of_code = lambda: np.searchsorted(code[listed], np.arange(len(members) + 1))
+    starts, indexed = of_code(), count
+    waiting, marked, left, links = np.ones(count, bool), np.zeros(len(members), bool), count, []
+    for seed in range(count):
+        if not waiting[seed]:
+            continue
+        waiting[seed], left, reached = False, left - 1, [seed]
+        while reached and left:
+            x = reached.pop()
+            own = code[first[x] : first[x + 1]]
+            head = own[: prefix[x]]
+            near = owner[listed[_ranges(starts[head], starts[head + 1])]]
+            near = near[waiting[near] & ((side[x] == 2) | (side[near] != side[x]))]
+            near = np.unique(near)
+            near = near[np.minimum(sizes[near], sizes[x]) >= similarity * np.maximum(sizes[near], sizes[x]) - 1e-9]
+            if not len(near):
+                continue
+            marked[own] = True
+            both = marked[code[_ranges(first[near], first[near + 1])]].astype(np.int64)
+            marked[own] = False
+            common = np.add.reduceat(both, np.cumsum(sizes[near]) - sizes[near])
+            near = near[common >= similarity * (sizes[x] + sizes[near] - common)]
+            waiting[near], left = False, left - len(near)
+            links.append((np.full(len(near), x), near))
+            reached += near.tolist()
+            if left * 2 < indexed:
+                listed = listed[waiting[owner[listed]]]
+                starts, indexed = of_code(), left
+    if not links:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    a, b = (np.concatenate(c) for c in zip(*links))
+    return a, b
+
+
+def _similar_sorted(similarity: float):
+    """Links of the rows `(bucket, left, right, side, node, shingles)` that share (bucket, left, right), sorted by these."""
+
+    def run(rows: pa.Table, bounds: np.ndarray):
+        node, side = rows.column("node").to_numpy(), rows.column("side").to_numpy()
+        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if high - low < 2:
+                continue
+            sets = rows.slice(low, high - low).column("shingles").combine_chunks()
+            a, b = similar_pairs(sets.flatten().to_numpy(), pc.list_value_length(sets).to_numpy().astype(np.int64), side[low:high], similarity)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(node[low:high][a]), pa.array(node[low:high][b])], ["a", "b"])
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in _and_end(batches):
+            if batch is not None:
+                table = pa.Table.from_batches([batch])
+                rest = table if rest is None else pa.concat_tables([rest, table])
+            if rest is None or not rest.num_rows:
+                continue
+            keys = [rest.column(c).to_numpy() for c in ("bucket", "left", "right")]
+            starts = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
+            bounds = np.concatenate([starts, [rest.num_rows]]) if batch is None else starts
+            yield from run(rest, bounds)
+            rest = rest.slice(int(bounds[-1]))
+
+    return apply
+
+
+def similar_links(sets: DataFrame, roots: DataFrame, similarity: float, block_shingles: int) -> DataFrame:
+    """Links `(a, b)` that connect all pairs of `(node, shingles)` with the same root and that similarity; each is such a pair.
+
+    The sets with one root are a bucket, in blocks of about `block_shingles`; each pair of blocks is a task.
+    """
+    rows = stage(sets.join(roots, "node").select(F.col("root").alias("bucket"), "node", "shingles"), "of-root")
+    sizes = stage(rows.groupBy("bucket").agg(F.ceil(F.sum(F.size("shingles")) / block_shingles).cast("int").alias("blocks")), "root-sizes")
+    return _pairs_of_blocks(rows.join(sizes, "bucket"), "shingles").mapInArrow(_similar_sorted(similarity), "a bigint, b bigint")
+
+
 def similar_groups(
-    documents: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8, budget: int = 12, tables: int = 6
+    documents: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = 5,
+    similarity: float = 0.8,
+    budget: int = 12,
+    tables: int = 6,
+    block: int = 2048,
+    whole: int = 16_384,
+    block_shingles: int = 1 << 20,
 ) -> DataFrame:
     """`(key, content, component_id, stays)` of texts whose sets of word shingles are similar, directly or over others.
 
     Each table hashes the shingles anew. Candidates: pairs that share the least hash of a table and are near in its
     fingerprint, by the pigeonring. At a similarity of 0.8 a table has 0.8 x 0.84 of the pairs, six tables all but
-    one in 700. The spanning links of the candidates, closest first over all tables, are kept if the Jaccard similarity of the whole
-    shingle sets is `similarity` or more. Texts with the same fingerprints and least hashes throughout are one node. Texts without words are similar to each other.
+    one in 700. What candidates connect is a group; inside it all whole shingle sets are compared, so a link is left out only if
+    the Jaccard similarity is below `similarity` or other links connect its ends. Texts with the same fingerprints and least hashes throughout are one node. Texts without words are similar to each other.
     `content` is the XXH64 of the text; the row with the least (key, content) of a component stays, one without a key only if none has one.
     """
     ship(documents.sparkSession)
@@ -324,18 +430,14 @@ def similar_groups(
     staged = stage(found.withColumn("node", F.xxhash64("tables", "least")), "fingerprints")
     place = F.struct(F.isnull("key").alias("no_key"), "key", "content")
     nodes = stage(staged.groupBy("node").agg(F.min(place).alias("least"), F.first(F.arrays_zip("tables", F.col("least").alias("hashes"))).alias("tables")), "nodes")
-    valued = nodes.select("node", F.col("tables.tables").alias("sketch"), F.posexplode("tables").alias("table", "x"))
-    valued = valued.select("node", F.xxhash64("table", "x.hashes").alias("group"), F.col("x.tables").alias("value"), "sketch")
-    links = stage(near_links_in_groups(valued, budget), "candidates")
-    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.select("node", F.col("least.key").alias("of_key"), F.col("least.content").alias("of_content")).join(ends, "node")
+    valued = nodes.select("node", F.posexplode("tables").alias("table", "x"))
+    valued = valued.select("node", F.xxhash64("table", "x.hashes").alias("group"), F.col("x.tables").alias("value"))
+    near = stage(components(near_links_in_groups(valued, budget, block, whole)), "candidates")
+    wanted = nodes.select("node", F.col("least.key").alias("of_key"), F.col("least.content").alias("of_content")).join(near.select("node"), "node")
     texts = rows.join(wanted, [F.col("key").eqNullSafe(F.col("of_key")), F.col("content") == F.col("of_content")]).select("node", "text")
     sets = stage(texts.mapInArrow(_shingles(width), "node bigint, shingles array<bigint>"), "shingles")
     sets = stage(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
-    both = links.join(sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a").join(sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    similar = both.filter(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
-    roots = components(similar)
+    roots = components(similar_links(sets, near, similarity, block_shingles))
     linked = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = linked.groupBy("root").agg(F.min("least").alias("first"))
     classes = stage(linked.select("node", "root").join(named, "root").select("node", "first"), "classes")
