@@ -260,6 +260,14 @@ def test_similar_groups_lose_no_link_to_a_pair_that_fails(spark):
     assert {r.doc_id: r.component_id for r in simhash.similar_groups(docs).collect()} == brute_similar(of_text)
 
 
+@pytest.mark.parametrize("block, whole, block_shingles", [(7, 1000, 3000), (50, 10, 1 << 20)])
+def test_similar_groups_do_not_depend_on_blocks(spark, block, whole, block_shingles):
+    of_text = dict(enumerate(similar_texts()))
+    docs = spark.createDataFrame(list(of_text.items()), "doc_id bigint, text string")
+    got = simhash.similar_groups(docs, block=block, whole=whole, block_shingles=block_shingles).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_similar(of_text)
+
+
 # --- secrets
 
 
