@@ -268,6 +268,19 @@ def test_similar_groups_do_not_depend_on_blocks(spark, block, whole, block_shing
     assert {r.doc_id: r.component_id for r in got} == brute_similar(of_text)
 
 
+def test_similar_groups_lose_no_short_text(spark):
+    """Pairs of 0.8 and a bit below, most of 4 and 5 shingles, and some on both sides of the sizes where the candidates change."""
+    rng = random.Random(12)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    out = []
+    for shingles in [4] * 250 + list(range(5, 46)) * 2:
+        text, more = line(shingles + 4), shingles // 4
+        out += [text, f"{text} {line(more)}" if rng.random() < 0.8 else f"{text} {line(more + 1)}"]
+    of_text = dict(enumerate(out))
+    docs = spark.createDataFrame(list(of_text.items()), "doc_id bigint, text string")
+    assert {r.doc_id: r.component_id for r in simhash.similar_groups(docs).collect()} == brute_similar(of_text)
+
+
 # --- secrets
 
 

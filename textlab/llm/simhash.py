@@ -34,6 +34,7 @@ from textlab.session import stage
 
 BITS = 64
 _WHOLE = 31  # low bits of a bucket that is a whole group and has no start of chains
+_MOST_BUDGET = 14  # two keys for each of 15 segments are numbered below _WHOLE
 
 
 def fingerprints_of(batch: pa.RecordBatch, width: int, seed: int) -> np.ndarray:
@@ -212,6 +213,8 @@ def near_links_in_groups(prints: DataFrame, budget: int, block: int = 2048, whol
     A group of at most `whole` rows is one bucket, compared in blocks. A larger one is cut into the buckets of the pigeonring,
     which lose no pair within the budget; so the size of a group changes the work, not what the links connect.
     """
+    if budget > _MOST_BUDGET:
+        raise ValueError(f"budget {budget} is above {_MOST_BUDGET}")
     sizes = prints.groupBy("group").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     sizes = stage(sizes, "group-sizes")
     rows = stage(prints.join(sizes, "group"), "grouped")
@@ -262,21 +265,33 @@ def near_components(prints: DataFrame, key: str = "doc_id", budget: int = 4) ->
     return staged.join(classes, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
 
 
-def _tables(width: int, count: int):
-    """Rows as `(key, content, tables, least)`: `count` fingerprints of the set of shingles and the least hash of each table."""
+def _tables(width: int, count: int, similarity: float, small: int):
+    """Rows as `(key, content, tables, least, size, parity, rare)`: `count` fingerprints of the set of shingles and the least hash of each table.
+
+    Sets of at most `small` shingles have a parity, bit i set if an odd number of shingles falls on it, and their least shingles,
+    one of which they share with each similar set.
+    """
     salts = mixed(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = shingle_sets(batch.column("text"), width)
             found = np.zeros((2, batch.num_rows, count), np.uint64)
+            sizes = np.array([len(s) for s in sets], np.int64)
+            parity, rare = np.zeros(batch.num_rows, np.uint64), [[]] * batch.num_rows
+            prefix = prefix_lengths(sizes, similarity)
             for row, shingles in enumerate(sets):
                 for table, salt in enumerate(salts if len(shingles) else ()):
                     hashes = mixed(shingles ^ salt)
                     found[:, row, table] = majority(hashes), hashes.min()
+                if 0 < len(shingles) <= small:
+                    parity[row] = np.bitwise_xor.reduce(np.uint64(1) << (shingles & np.uint64(63)))
+                    rare[row] = shingles[: prefix[row]].view(np.int64)
             ends = pa.array(np.arange(0, batch.num_rows * count + 1, count), pa.int32())
             lists = [pa.ListArray.from_arrays(ends, pa.array(f.reshape(-1).view(np.int64))) for f in found]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("content"), *lists], ["key", "content", "tables", "least"])
+            more = [pa.array(sizes), pa.array(parity.view(np.int64)), pa.array(rare, pa.list_(pa.int64()))]
+            names = ["key", "content", "tables", "least", "size", "parity", "rare"]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("content"), *lists, *more], names)
 
     return apply
 
@@ -409,8 +424,9 @@ def similar_groups(
     text: str = "text",
     width: int = 5,
     similarity: float = 0.8,
-    budget: int = 12,
-    tables: int = 6,
+    budget: int = 14,
+    tables: int = 10,
+    small: int = 32,
     block: int = 2048,
     whole: int = 16_384,
     block_shingles: int = 1 << 20,
@@ -418,21 +434,30 @@ def similar_groups(
     """`(key, content, component_id, stays)` of texts whose sets of word shingles are similar, directly or over others.
 
     Each table hashes the shingles anew. Candidates: pairs that share the least hash of a table and are near in its
-    fingerprint, by the pigeonring. At a similarity of 0.8 a table has 0.8 x 0.84 of the pairs, six tables all but
-    one in 700. What candidates connect is a group; inside it all whole shingle sets are compared, so a link is left out only if
-    the Jaccard similarity is below `similarity` or other links connect its ends. Texts with the same fingerprints and least hashes throughout are one node. Texts without words are similar to each other.
+    fingerprint. At a similarity of 0.8 a table has 0.76 of the pairs, ten tables all but one in a million. Small sets would
+    lose more: up to `small` shingles they are candidates if they share one of their least shingles and their parities differ
+    in no more bits than such sets can differ in shingles, which loses none. Sets of up to `small / similarity` go both ways.
+    What candidates connect is a group; inside it all whole shingle sets are compared, so a link is left out only if the
+    Jaccard similarity is below `similarity` or other links connect its ends. Texts with the same fingerprints and least
+    hashes throughout are one node. Texts without words are similar to each other.
     `content` is the XXH64 of the text; the row with the least (key, content) of a component stays, one without a key only if none has one.
     """
     ship(documents.sparkSession)
     rows = documents.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("content"), F.col(f"`{text}`").alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    found = rows.mapInArrow(_tables(width, tables), f"key {kind}, content bigint, tables array<bigint>, least array<bigint>")
+    both_ways = int(small / similarity + 1e-9)
+    columns = f"key {kind}, content bigint, tables array<bigint>, least array<bigint>, size bigint, parity bigint, rare array<bigint>"
+    found = rows.mapInArrow(_tables(width, tables, similarity, both_ways), columns)
     staged = stage(found.withColumn("node", F.xxhash64("tables", "least")), "fingerprints")
     place = F.struct(F.isnull("key").alias("no_key"), "key", "content")
-    nodes = stage(staged.groupBy("node").agg(F.min(place).alias("least"), F.first(F.arrays_zip("tables", F.col("least").alias("hashes"))).alias("tables")), "nodes")
-    valued = nodes.select("node", F.posexplode("tables").alias("table", "x"))
+    of_node = [F.min(place).alias("least"), F.first(F.arrays_zip("tables", F.col("least").alias("hashes"))).alias("tables"), F.first(F.struct("size", "parity", "rare")).alias("set")]
+    nodes = stage(staged.groupBy("node").agg(*of_node), "nodes")
+    valued = nodes.filter(F.col("set.size") > small).select("node", F.posexplode("tables").alias("table", "x"))
     valued = valued.select("node", F.xxhash64("table", "x.hashes").alias("group"), F.col("x.tables").alias("value"))
-    near = stage(components(near_links_in_groups(valued, budget, block, whole)), "candidates")
+    listed = nodes.filter(F.size("set.rare") > 0).select("node", F.explode("set.rare").alias("group"), F.col("set.parity").alias("value"))
+    differing = int(2 * both_ways * (1 - similarity) / (1 + similarity) + 1e-9)  # shingles that only one of two similar sets has
+    links = near_links_in_groups(valued, budget, block, whole).unionAll(near_links_in_groups(listed, differing, block, whole))
+    near = stage(components(links), "candidates")
     wanted = nodes.select("node", F.col("least.key").alias("of_key"), F.col("least.content").alias("of_content")).join(near.select("node"), "node")
     texts = rows.join(wanted, [F.col("key").eqNullSafe(F.col("of_key")), F.col("content") == F.col("of_content")]).select("node", "text")
     sets = stage(texts.mapInArrow(_shingles(width), "node bigint, shingles array<bigint>"), "shingles")
