@@ -310,6 +310,26 @@ def test_ledger_scans_once_and_joins_back(spark, docs, rows):
     assert secret_scan.read_ledger(spark, folder).filter("rule_version = 'next'").count() == before
 
 
+def test_private_keys_are_spans_with_their_bodies(spark):
+    rng = random.Random(4)
+    line = lambda n: "".join(rng.choice("ABCDEFGHIJKLMabcdefghijklm0123456789+/") for _ in range(n))
+    body = "\n".join([line(64) for _ in range(6)] + [line(9) + "=="])
+    pem = lambda words, inside: f"-----BEGIN {words}-----\n{inside}\n-----END {words}-----"
+    keys = [pem(w, body) for w in ("PRIVATE KEY", "RSA PRIVATE KEY", "ENCRYPTED PRIVATE KEY")]
+    keys += [pem("PGP PRIVATE KEY BLOCK", f"Version: GnuPG v2\n\n{body}\n=aB3d"), pem("RSA PRIVATE KEY", f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES,00\n\n{body}")]
+    keys += [keys[0].replace("\n", "\r\n"), keys[1].replace("\n", "\\n"), keys[3].rsplit("\n", 1)[0], keys[4].rsplit("\n", 1)[0], keys[0].rsplit("\n", 1)[0]]
+    keys += [keys[1].rsplit("\n", 1)[0].replace("\n", "\\n"), "-----BEGIN PRIVATE KEY----- " + line(64) + " " + line(64)]
+    texts = [(i, f"before\n{k}\nand after it") for i, k in enumerate(keys)]
+    texts += [(100, f"{keys[9]}\n{keys[2]}\nafter"), (101, "the line -----BEGIN PRIVATE KEY----- opens a key")]
+    rows = spark.createDataFrame(texts, "doc_id bigint, text string")
+    folder = new_folder(spark, "ledger")
+    secret_scan.scan_new(rows, folder)
+    found = rows.join(secret_scan.findings_by_path(rows, folder), "doc_id")
+    left = {r.doc_id: r.text for r in secret_scan.redact(found, ["doc_id", "text"]).collect()}
+    assert {i: left[i] for i in range(len(keys))} == {i: "before\n[secret]\nand after it" for i in range(len(keys))}
+    assert left[100] == "[secret]\n[secret]\nafter" and left[101] == "the line [secret] opens a key"
+
+
 # --- tokens
 
 

@@ -23,16 +23,26 @@ from pyspark.sql import DataFrame, functions as F
 
 from textlab.llm.workers import ship, slices
 
-RULE_VERSION = "3"
+RULE_VERSION = "4"
 FINDINGS = "array<struct<kind:string,start:bigint,end:bigint>>"
 
+# A private key goes from its header to the END line of the same words, unless another block begins or ends before. Without that line it
+# goes over armor headers (`Name: value`) and base64 lines, the last perhaps short, and a checksum; line ends may be escaped.
+_LINE_END = r"[ \t]*(?:\r?\n|\r|(?:\\[rn])+)[ \t]*"
+_PRIVATE_KEY = (
+    r"-----BEGIN (?P<words>(?:[A-Z0-9]+ ){0,3}PRIVATE KEY(?: BLOCK)?)-----"
+    r"(?:[^-]*(?:-(?!----(?:BEGIN|END) )[^-]*)*-----END (?P=words)-----"
+    rf"|(?:{_LINE_END}[A-Z][A-Za-z-]*:[ ][^\r\n\\]*)*(?:(?:(?:\s|\\[rn])+[A-Za-z0-9+/=]{{16,}})+"
+    rf"(?:{_LINE_END}[A-Za-z0-9+/]{{1,15}}={{0,2}}(?=[ \t]*(?:[\r\n\\]|\Z)))?(?:{_LINE_END}=[A-Za-z0-9+/]{{4}})?)?)"
+)
+
 # The kinds in the order in which spans of the same start are listed, and their patterns.
 # The first three are the base kinds; `least` is the length that the group needs.
 RULES = [
     ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
-    ("private_key", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----", 0, 1),
+    ("private_key", _PRIVATE_KEY, 0, 1),
     ("github", r"gh[oprsu]_[A-Za-z0-9]{36,}", 0, 1),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 1),
