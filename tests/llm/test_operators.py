@@ -8,6 +8,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -330,6 +331,12 @@ def test_private_keys_are_spans_with_their_bodies(spark):
     assert left[100] == "[secret]\n[secret]\nafter" and left[101] == "the line [secret] opens a key"
 
 
+def test_url_logins_of_any_length():
+    for login, password in (("u", "p"), ("u" * 65, "p" * 129), ("user", "Ab1-" * 2000)):
+        url = f"https://{login}:{password}@"
+        assert secret_scan.find_secrets(pa.array([f"see {url}host/path"])) == [[("url_login", 4, 4 + len(url))]]
+
+
 # --- tokens
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from textlab.llm.workers import ship, slices
 
-RULE_VERSION = "4"
+RULE_VERSION = "5"
 FINDINGS = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 # A private key goes from its header to the END line of the same words, unless another block begins or ends before. Without that line it
@@ -46,7 +46,7 @@ RULES = [
     ("github", r"gh[oprsu]_[A-Za-z0-9]{36,}", 0, 1),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 1),
-    ("url_login", r"[a-z][a-z0-9+]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{1,128}@", 0, 1),
+    ("url_login", r"[a-z][a-z0-9+]{1,15}://[^\s/:@]+:[^\s/:@]+@", 0, 1),
 ]
 BASE_KINDS = ("assign", "access", "hex")
 _COMPILED = [(kind, re.compile(pattern), group, least) for kind, pattern, group, least in RULES]
