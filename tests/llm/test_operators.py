@@ -14,8 +14,9 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from textlab.llm import bpe, knn, line_quality, packing, queries, rans, rendezvous, secret_scan, simhash, suffix_dedup, toxicity
-from textlab.session import new_folder
+from textlab.session import new_folder, stage
 
 SCHEMA = "doc_id bigint, text string, source string, key int, id string, node int, words string, content string, size int, place int, fingerprint string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -539,3 +540,58 @@ def test_empty_tables(spark, empty):
         knn.top_k(knn.integer_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>")), F.col("id") % 20 == 0),
     ]
     assert [r.count() for r in results] == [0] * len(results)
+
+
+# --- the pipeline
+
+
+def test_pipeline_stages_and_run(spark, tmp_path):
+    rng = random.Random(13)
+    line = lambda n: " ".join("".join(rng.choice("aeionrst") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    clean = similar_texts() + [f"{line(20)} https://user:{'p' * 200}@host {line(20)}" for _ in range(20)]
+    of_text = dict(enumerate(clean)) | {1000 + i: f"{line(20)} grumblor vexatik {line(20)}" for i in range(150)}
+    docs = spark.createDataFrame(list(of_text.items()), "doc_id bigint, text string").withColumn("n_chars", F.length("text").cast("bigint"))
+    folder = str(tmp_path)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    docs.select("doc_id", (F.col("doc_id") >= 1000).cast("int").alias("toxic")).write.parquet(f"{folder}/labels.parquet")
+    pipeline = {name: lambda d, f=f: stage(f(spark, d, folder), "stage") for name, f in corpus_pipeline.STAGES}
+    texts_of = lambda d: {r.doc_id: r.text for r in d.collect()}
+
+    docs = pipeline["toxicity"](docs)
+    expected = dict(enumerate(clean))
+    assert texts_of(docs) == expected
+
+    docs = pipeline["simhash near copies"](docs)
+    expected = {k: expected[k] for k in set(brute_similar(expected).values())}
+    assert texts_of(docs) == expected
+
+    docs, seen, left = pipeline["suffix-array dedup"](docs), set(), {}
+    for key in sorted(expected):
+        w, gone = words(expected[key]), set()
+        for i in range(len(w) - 49):
+            if tuple(w[i : i + 50]) in seen:
+                gone |= set(range(i, i + 50))
+            seen.add(tuple(w[i : i + 50]))
+        if len(gone) < len(w):
+            left[key] = [x for i, x in enumerate(w) if i not in gone]
+    cut = texts_of(docs)
+    assert {k: words(t) for k, t in cut.items()} == left
+
+    docs = pipeline["secret scan"](docs)
+    clear = {}
+    for key, text in cut.items():
+        for _, start, end in reversed(brute_secrets(text)):
+            text = text[:start] + "[secret]" + text[end:]
+        clear[key] = text
+    assert texts_of(docs) == clear and sum("[secret]" in t for t in clear.values()) == 20
+    assert all(r.n_chars == len(r.text) for r in docs.collect())
+
+    tokenizer, pieces = Tokenizer.from_file(queries.VOCABULARY), []
+    for key, text in clear.items():
+        flat, at, piece = [*tokenizer.encode(text, add_special_tokens=False).ids, 2], 0, 0
+        while at < len(flat):
+            to = at + ((len(flat) % 1024 or 1024) if at == 0 else 1024)
+            pieces.append((key, piece, at, to - at, zlib.crc32(struct.pack(f"<{to - at}I", *flat[at:to]))))
+            at, piece = to, piece + 1
+    for got in (pipeline["best-fit packing"](docs), corpus_pipeline.run(spark, folder)):
+        assert multiset((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got.collect()) == multiset(pieces)
