@@ -5,6 +5,11 @@ Fingerprints, checksums, token ids and fitted models have no SQL form; their tes
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from textlab.llm.queries import URL_RULES
+from textlab.llm.url_templates import NUMBER, Growth, Rule
+
 LINE_QUALITY = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -48,5 +53,56 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+
+
+def url_templates(rules: Sequence[Rule], growth: Growth = Growth()) -> str:
+    """The levels of the tree are written out; a level without segments changes nothing."""
+    ordered = sorted(rules, key=lambda r: (len(r.name), len(r.host), r.name), reverse=True)
+    cases = lambda value: "CASE " + " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{getattr(r, value)}'" for r in ordered
+    ) + " END"
+    steps = [
+        f"""pages_in AS (SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END, '') AS rest FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM pages_in),
+r0 AS MATERIALIZED (SELECT host, path, CASE {cases("verdict")} WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END AS bad, '' AS template, '' AS branch,
+  list_filter(string_split(path, '/'), lambda s : s <> '') AS seg FROM (SELECT DISTINCT host, path FROM parts))"""
+    ]
+    for i in range(growth.depth):
+        steps.append(f"""c{i} AS MATERIALIZED (SELECT host, branch, seg[{i + 1}] AS segment, count(*) AS n FROM r{i} WHERE len(seg) > {i} GROUP BY ALL),
+k{i} AS (SELECT host, branch, segment FROM c{i} JOIN (SELECT host, branch, sum(n) AS total FROM c{i} GROUP BY ALL) USING (host, branch)
+  WHERE n >= {growth.least_urls} AND n * 100 >= total * {growth.least_percent}
+    OR segment IN (SELECT segment FROM c{i} WHERE NOT regexp_matches(segment, '{NUMBER}') GROUP BY segment
+      HAVING count(DISTINCT host) >= {growth.least_hosts} AND count(DISTINCT host) * 100 >= (SELECT count(DISTINCT host) FROM c{i}) * {growth.least_percent})),
+p{i} AS MATERIALIZED (SELECT r.*, CASE WHEN len(seg) <= {i} THEN NULL WHEN k.segment IS NOT NULL THEN seg[{i + 1}]
+    WHEN regexp_matches(seg[{i + 1}], '{NUMBER}') THEN '#n' ELSE '#w' END AS child
+  FROM r{i} r LEFT JOIN k{i} k ON r.host = k.host AND r.branch = k.branch AND seg[{i + 1}] = k.segment),
+s{i} AS (SELECT *, b / n AS share FROM (SELECT host, branch, child, sum(bad) AS b, count(*) AS n FROM p{i} WHERE child IS NOT NULL AND bad IS NOT NULL GROUP BY ALL)),
+g{i} AS (SELECT *, lag(b) OVER w AS pb, lag(n) OVER w AS pn, lag(share) OVER w AS ps FROM s{i} WINDOW w AS (PARTITION BY host, branch ORDER BY share, child)),
+d{i} AS (SELECT *, sum(CASE WHEN (share - ps) * (share - ps) > CAST({growth.z} AS DOUBLE) * CAST({growth.z} AS DOUBLE) * ((b + pb) / (n + pn)) * (1 - (b + pb) / (n + pn)) * (1 / n + 1 / pn) THEN 1 ELSE 0 END)
+  OVER (PARTITION BY host, branch ORDER BY share, child) AS run FROM g{i}),
+m{i} AS (SELECT host, branch, run, CASE WHEN count(*) > 1 THEN '#{{' || string_agg(child, '|' ORDER BY child) || '}}' ELSE min(child) END AS name FROM d{i} GROUP BY ALL),
+r{i + 1} AS MATERIALIZED (SELECT p.host, path, bad, CASE WHEN p.child IS NULL THEN template ELSE template || '/' || p.child END AS template,
+    CASE WHEN p.child IS NULL THEN p.branch ELSE p.branch || '/' || coalesce(m.name, p.child) END AS branch, seg
+  FROM p{i} p LEFT JOIN d{i} d ON p.host = d.host AND p.branch = d.branch AND p.child = d.child LEFT JOIN m{i} m ON d.host = m.host AND d.branch = m.branch AND d.run = m.run)""")
+    last, strength = growth.depth, f"CAST({growth.strength} AS DOUBLE)"
+    steps.append(f"""leaves AS MATERIALIZED (SELECT host, path, bad, CASE WHEN len(seg) > {last} THEN template || '/#t' ELSE template END AS template,
+    CASE WHEN len(seg) > {last} THEN branch || '/#t' ELSE branch END AS branch FROM r{last}),
+overall AS (SELECT (coalesce(sum(bad), 0) + 1) / (count(bad) + 2) AS o FROM leaves),
+priors AS (SELECT template, (coalesce(sum(bad), 0) + {strength} * (SELECT o FROM overall)) / (count(bad) + {strength}) AS prior FROM leaves GROUP BY template),
+branches AS (SELECT host, branch, coalesce(sum(bad), 0) AS bb, count(bad) AS bn FROM leaves GROUP BY host, branch),
+pure AS (SELECT l.host, l.path, l.branch, (bb + {strength} * prior) / (bn + {strength}) AS purity
+  FROM leaves l JOIN branches USING (host, branch) JOIN priors ON l.template = priors.template)""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT page_id, host, path, {cases("name")} AS rule, coalesce({cases("verdict")}, CASE WHEN purity > {growth.limit} THEN 'block' ELSE 'allow' END) AS verdict,
+  branch AS template, round(purity, 6) AS purity
+FROM parts JOIN pure USING (host, path)
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op2_line_quality": LINE_QUALITY, "op10_voronoi_knn": VORONOI_KNN}
+    return {
+        "op2_line_quality": LINE_QUALITY,
+        "op10_voronoi_knn": VORONOI_KNN,
+        "op12_url_templates": url_templates(URL_RULES),
+    }

@@ -7,11 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from textlab.llm import bpe, knn, line_quality, packing, rans, rendezvous, secret_scan, simhash, suffix_dedup, toxicity
+from textlab.llm import bpe, knn, line_quality, packing, rans, rendezvous, secret_scan, simhash, suffix_dedup, toxicity, url_templates
 from textlab.session import new_folder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SHARDS = 24
+# The listed rules.
+URL_RULES = [
+    url_templates.Rule("allow", "com", "/"),
+    url_templates.Rule("block", "example.com", "/en/"),
+    url_templates.Rule("allow", "www.example.com", "/en/"),
+    url_templates.Rule("block", "net", "/es/"),
+    url_templates.Rule("block", "net", "/fr/"),
+]
 
 _registered: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -116,3 +124,8 @@ def op9_best_fit_packing(spark, folder):
 def op10_voronoi_knn(spark, folder):
     vectors = knn.integer_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
     return knn.top_k(vectors, F.col("id") % 20 == 0)
+
+
+@query
+def op12_url_templates(spark, folder):
+    return url_templates.judged(spark.read.parquet(f"{folder}/pages.parquet"), URL_RULES)
