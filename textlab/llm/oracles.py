@@ -54,6 +54,42 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 
 
 
+COLLOCATIONS = r"""
+WITH pieces AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w : w <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS (SELECT lang, words, unnest(list_transform(range(1, len(w) - words + 2), lambda i : array_to_string(w[i:i + words - 1], ' '))) AS phrase
+  FROM pieces, (VALUES (1), (2), (3)) v(words)),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+f AS MATERIALIZED (SELECT lang, words, phrase, CAST(count(*) AS BIGINT) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, words)) AS k FROM f WHERE words >= 2),
+parted AS (SELECT cuts.lang, cuts.words, cuts.phrase, a, k, l.f AS l, r.f AS r, CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM cuts JOIN f l ON cuts.lang = l.lang AND l.phrase = array_to_string(w[1:k], ' ') JOIN f r ON cuts.lang = r.lang AND r.phrase = array_to_string(w[k + 1:], ' ')),
+candidates AS MATERIALIZED (SELECT * FROM parted QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (SELECT lang, a, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase
+  FROM candidates WHERE words = 3),
+most AS (SELECT lang, phrase, max(a) AS most FROM inner_parts GROUP BY ALL),
+kept AS (SELECT candidates.* FROM candidates LEFT JOIN most ON candidates.lang = most.lang AND candidates.phrase = most.phrase WHERE most IS NULL OR 100 * most < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+RANKED_SEARCH = r"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS place, doc_id,
+  regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+lengths AS (SELECT place, doc_id, CAST(len(terms) AS BIGINT) AS n FROM docs WHERE len(terms) > 0),
+total AS (SELECT CAST(count(*) AS BIGINT) AS documents, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+counts AS MATERIALIZED (SELECT place, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT place, unnest(terms) AS term FROM docs) GROUP BY ALL),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counts, total GROUP BY term, documents),
+parts AS (SELECT item_id, lengths.place, doc_id, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + ((50 * n * documents) // words)))) AS part
+  FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN lengths ON counts.place = lengths.place, total),
+scores AS (SELECT item_id, place, doc_id, CAST(sum(part) AS BIGINT) AS score FROM parts GROUP BY ALL),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 
 def url_templates(rules: Sequence[Rule], growth: Growth = Growth()) -> str:
     """The levels of the tree are written out; a level without segments changes nothing."""
@@ -104,5 +140,7 @@ def all_oracles() -> dict[str, str]:
     return {
         "op2_line_quality": LINE_QUALITY,
         "op10_voronoi_knn": VORONOI_KNN,
+        "op11_collocations": COLLOCATIONS,
         "op12_url_templates": url_templates(URL_RULES),
+        "op13_ranked_search": RANKED_SEARCH,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from textlab.llm import bpe, knn, line_quality, packing, rans, rendezvous, secret_scan, simhash, suffix_dedup, toxicity, url_templates
+from textlab.llm import bpe, collocations, knn, line_quality, packing, ranked_search, rans, rendezvous, secret_scan, simhash, suffix_dedup, toxicity, url_templates
 from textlab.session import new_folder
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -126,6 +126,16 @@ def op10_voronoi_knn(spark, folder):
     return knn.top_k(vectors, F.col("id") % 20 == 0)
 
 
+@query
+def op11_collocations(spark, folder):
+    return collocations.collocations(documents(spark, folder))
+
+
 @query
 def op12_url_templates(spark, folder):
     return url_templates.judged(spark.read.parquet(f"{folder}/pages.parquet"), URL_RULES)
+
+
+@query
+def op13_ranked_search(spark, folder):
+    return ranked_search.top_documents(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
