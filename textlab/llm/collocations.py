@@ -39,6 +39,7 @@ _INSIDE[[*b" \t"]] = False
 _INSIDE &= ~_BREAK
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _BLOCK = 15  # bits of a place inside a row of a bit map
+_SLICE_BYTES = 2 << 20  # of text at a time; the sums of its polynomial take some thirty times as much
 
 
 def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -140,7 +141,7 @@ def verified(stream: Stream, codes: np.ndarray, at: np.ndarray, fingerprints: np
 
 def _counted(n: int, maps: Broadcast):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=_SLICE_BYTES):
             found, counts = np.unique(Stream.of(batch).possible(n, maps.value)[1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["fingerprint", "n"])
 
@@ -151,7 +152,7 @@ def _materialised(longest: int, maps: Broadcast):
     """Phrases that may be frequent as text, and a row of no words with the number of all words of each language."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=_SLICE_BYTES):
             stream = Stream.of(batch)
             names, codes = pa.array(stream.languages, pa.string()), stream.codes()
             totals = np.bincount(stream.language, minlength=len(stream.languages))
