@@ -5,8 +5,8 @@ are per language. A candidate is a phrase of 2 to `longest` words with f(phrase)
 floor(1 000 000 a a / (l r)) with a = f(phrase), l = f(first part), r = f(rest); its lowest cut counts. A candidate goes if a
 longer candidate that holds it has at least `inside_percent` of its occurrences.
 
-In a task, the words of many texts lie in one stream of bytes, one blank after each, and prefix sums of a polynomial over the
-stream give the fingerprint of any n-gram in constant time. Level by level a shuffle adds up fingerprints alone: those that can still be frequent, since an
+In a task, the words of many texts lie in one stream. A word has a polynomial over its letters, and prefix sums of a polynomial over
+the words of the stream give the fingerprint of any n-gram in constant time. Level by level a shuffle adds up fingerprints alone: those that can still be frequent, since an
 n-gram cannot be if one of its two (n-1)-grams is not. Frequent fingerprints of a level are kept as a bit map of a fixed size
 (2^`bits` bits); one that is in it by chance costs work and no result. In the last pass, a task groups the occurrences of
 fingerprints in the map, takes the first of each group as pointer, compares the words of all others with the text there, and splits
@@ -29,7 +29,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
-from textlab.llm.word_hash import Runs, mixed
+from textlab.llm.word_hash import Runs, mixed, powers
 from textlab.llm.workers import flat_bytes, ship, slices
 from textlab.session import stage
 
@@ -38,8 +38,9 @@ _BREAK[[*b".,;:!?\n\x0b\x0c\r"]] = True
 _INSIDE[[*b" \t"]] = False
 _INSIDE &= ~_BREAK
 _LOWER[ord("A") : ord("Z") + 1] += 32
+_LETTER_BASE = 0x9E3779B97F4A7C15
 _BLOCK = 15  # bits of a place inside a row of a bit map
-_SLICE_BYTES = 2 << 20  # of text at a time; the sums of its polynomial take some thirty times as much
+_SLICE_BYTES = 2 << 20  # of text at a time
 
 
 def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -49,11 +50,10 @@ def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Stream:
-    """Words of many texts, a blank after each."""
+    """Words of many texts in a row."""
 
-    letters: np.ndarray
-    starts: np.ndarray  # of the words
-    ends: np.ndarray
+    letters: np.ndarray  # of all words, nothing between them
+    first: np.ndarray  # place of the first letter of each word, and the number of all letters
     piece: np.ndarray  # of each word; ascending over all texts
     language: np.ndarray  # of each word, a place in `languages`
     languages: list[str]
@@ -70,29 +70,26 @@ class Stream:
         before[cuts], after[cuts - 1] = False, False
         starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
         text = np.searchsorted(offsets, starts, side="right") - 1
-        piece = np.cumsum(_BREAK[data])[starts] + text if len(starts) else starts
-        lengths = ends - starts
-        letters = np.full(int(lengths.sum()) + len(lengths), ord(" "), np.uint8)
-        begins = np.cumsum(lengths + 1) - (lengths + 1)
-        letters[ranges(begins, begins + lengths)] = _LOWER[data[inside]]
+        piece = np.cumsum(_BREAK[data], dtype=np.int32)[starts] + text if len(starts) else starts
+        letters, lengths = _LOWER[data[inside]], ends - starts
         named = pc.fill_null(batch.column("lang"), "und").dictionary_encode()
         language = named.indices.to_numpy().astype(np.int64)[text]
-        return cls(letters, begins, begins + lengths, piece, language, named.dictionary.to_pylist(), Runs(letters.astype(np.uint64) + np.uint64(1)))
+        return cls(letters, np.concatenate([[0], np.cumsum(lengths)]), piece, language, named.dictionary.to_pylist(), Runs(_word_hashes(letters, lengths)))
 
     def grams(self, n: int) -> np.ndarray:
         """Places of the words that start an n-gram."""
-        count = len(self.starts) - n + 1
+        count = len(self.piece) - n + 1
         return np.flatnonzero(self.piece[:count] == self.piece[n - 1 :]) if count > 0 else np.zeros(0, np.int64)
 
     def fingerprints(self, at: np.ndarray, n: int) -> np.ndarray:
         salts = np.array([xxhash.xxh64_intdigest(name.encode(), n) for name in self.languages], np.uint64)
-        return mixed(self.runs.of(self.starts[at], self.ends[at + n - 1]) ^ salts[self.language[at]]) if len(at) else np.zeros(0, np.uint64)
+        return mixed(self.runs.of(at, at + n) ^ salts[self.language[at]]) if len(at) else np.zeros(0, np.uint64)
 
     def possible(self, n: int, maps: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Places and fingerprints of the n-grams both of whose (n-1)-grams may be frequent."""
         at = self.grams(n)
         if n > 1:
-            shorter = np.zeros(len(self.starts), bool)
+            shorter = np.zeros(len(self.piece), bool)
             places = self.grams(n - 1)
             shorter[places] = has(maps[n - 1], self.fingerprints(places, n - 1))
             at = at[shorter[at] & shorter[at + 1]]
@@ -100,17 +97,31 @@ class Stream:
 
     def codes(self) -> np.ndarray:
         """A number for each word, the same for equal words and only for these."""
-        inside = np.ones(len(self.letters), bool)
-        inside[self.ends] = False
-        lengths = self.ends - self.starts
-        bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-        words = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(bounds), pa.py_buffer(self.letters[inside])])
+        words = pa.Array.from_buffers(pa.large_binary(), len(self.piece), [None, pa.py_buffer(self.first), pa.py_buffer(self.letters)])
         return words.dictionary_encode().indices.to_numpy()
 
     def texts(self, at: np.ndarray, n: int) -> pa.Array:
-        starts, ends = self.starts[at], self.ends[at + n - 1] if len(at) else self.starts[at]
-        bounds = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
-        return pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(self.letters[ranges(starts, ends)])])
+        """The n-grams at these places, their words with a blank between."""
+        words = ranges(at, at + n)
+        lengths = self.first[words + 1] - self.first[words]
+        blanks = np.ones(len(words), np.int64)
+        blanks[n - 1 :: n] = 0
+        begins = np.cumsum(lengths + blanks) - (lengths + blanks)
+        out = np.full(int((lengths + blanks).sum()), ord(" "), np.uint8)
+        out[ranges(begins, begins + lengths)] = self.letters[ranges(self.first[words], self.first[words + 1])]
+        bounds = np.concatenate([begins[::n], [len(out)]]).astype(np.int32)
+        return pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(bounds), pa.py_buffer(out)])
+
+
+def _word_hashes(letters: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A polynomial over the letters of each word, modulo 2^64; equal for equal words, and for some others."""
+    if not len(lengths):
+        return np.zeros(0, np.uint64)
+    at = np.cumsum(lengths) - lengths
+    place = np.arange(len(letters), dtype=np.int32) - np.repeat(at.astype(np.int32), lengths)
+    summands = powers(_LETTER_BASE, int(lengths.max()))[place]
+    summands *= letters + np.uint64(1)
+    return mixed(np.add.reduceat(summands, at))
 
 
 def probes(fingerprints: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
