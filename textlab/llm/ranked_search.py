@@ -36,7 +36,8 @@ _INSIDE[:128] = [chr(b).isalnum() for b in range(128)]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _MOST_COLUMNS = 1 << 16
-_CELLS = 1 << 22  # of a tile
+_CELLS = 1 << 20  # of a tile
+_SLICE_BYTES = 1 << 20  # of text at a time
 
 
 def terms_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -50,8 +51,8 @@ def terms_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     starts = np.flatnonzero(inside & ~before)
     first = np.searchsorted(starts, offsets)
     letters = _LOWER[data[inside]]
-    kept = np.concatenate([[0], np.cumsum(inside)])  # where a byte goes once all others are gone
-    bounds = np.concatenate([kept[starts], [len(letters)]]).astype(np.int64)
+    sizes = np.add.reduceat(inside, starts, dtype=np.int64) if len(starts) else starts  # what is inside from a start to the next
+    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
     return pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(letters)]), first
 
 
@@ -67,7 +68,7 @@ def _term_counts(vocabulary: Broadcast):
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(vocabulary.value, pa.large_string())
-        for batch in slices(batches):
+        for batch in slices(batches, limit=_SLICE_BYTES):
             terms, first = terms_of(batch.column("text"))
             sizes = np.diff(first)
             found = pc.index_in(terms, value_set=known)
@@ -173,7 +174,7 @@ def top_documents(
     item_text: str = "text",
     k: int = 50,
     columns: int = 4096,
-    block: int = 1024,
+    block: int = 256,
     vocabulary_bytes: int = 64 << 20,
 ) -> DataFrame:
     """`(item, rank, key, score)`: for each item the k documents with the highest score above 0."""
