@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -30,6 +32,20 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
     )
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors once per application, so that tasks can import it anywhere."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="textlab-code-")  # on the driver only; Spark serves the file
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/textlab", "zip", os.path.dirname(package), os.path.basename(package)))
+    _shipped.add(application)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by `spark.checkpoint.dir`. Only a local session may fall back to a scratch folder."""
     named = spark.conf.get("spark.checkpoint.dir", None)
