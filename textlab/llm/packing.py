@@ -3,9 +3,10 @@
 A document is its ids and one end id. One longer than a sequence is cut into pieces of `capacity` tokens, the
 first of which may be shorter; full pieces are sequences of their own. The other pieces go to tasks by hash, and
 each task packs its own, the longest first, into the fullest bin they fit. Nearly full bins are done. The
-others are items of the next round, with a fraction of the tasks, up to one task. A task passes on at most `carried`
-bins, the emptiest; its other bins are done as they are, so no task gets more than a bounded number of bins
-and no piece is dropped.
+others are items of the next round, which has as many tasks as there are items for; a bin far from full is taken apart again, so that a
+task of the next round may fill its items up with what this one had not. The last round is the one that fits one task, or that
+follows a round which left nearly as many items as it got; then every bin is done. So no task gets more than about
+`items_per_task` items, and no bin is closed because there are too many.
 
 A null text is empty and has the end id only. Rows given twice are packed twice. An empty table gives no rows.
 """
@@ -82,29 +83,27 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return bins, np.array(fill, np.int64)
 
 
-def _round(capacity: int, full_from: int, carried: int, number: int):
+def _round(capacity: int, full_from: int, apart_below: int, number: int):
     """Bins `(fill, members)` of a task, best-fit into larger ones; `sequence_id` is set on those that are done."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [batch for batch in batches if batch.num_rows]  # at most items_per_task or fan_in x carried bins
+        held = [batch for batch in batches if batch.num_rows]  # about items_per_task bins
         if not held:
             return
         table = pa.Table.from_batches(held)
         sizes, members = table.column("fill").to_numpy(), table.column("members").combine_chunks()
         bins, fill = best_fit(sizes, capacity)
-        order = np.argsort(bins, kind="stable")
+        apart = np.flatnonzero(fill[bins] < apart_below)
+        if len(apart):  # its items as they came
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(apart), pa.int64()), pa.array(sizes[apart]), members.take(pa.array(apart))], ["sequence_id", "fill", "members"])
+        kept = np.flatnonzero(fill[bins] >= apart_below)
+        order = kept[np.argsort(bins[kept], kind="stable")]
         members = members.take(pa.array(order))
-        counts = np.diff(members.offsets.to_numpy())
-        per_bin = np.zeros(len(fill), np.int64)
-        np.add.at(per_bin, bins[order], counts)
-        merged = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_bin)]).astype(np.int32)), members.flatten())
-        open_bins = np.flatnonzero(fill < full_from)
-        passed = open_bins[np.argsort(fill[open_bins], kind="stable")[:carried]]
-        done = np.ones(len(fill), bool)
-        done[passed] = False
-        task = TaskContext.get().partitionId()
-        ids = pa.array((np.int64(number) << 56) | (np.int64(task) << 32) | np.arange(len(fill)), mask=~done)
-        yield pa.RecordBatch.from_arrays([ids, pa.array(fill), merged], ["sequence_id", "fill", "members"])
+        own, counts = np.unique(bins[order], return_counts=True)
+        ends = np.concatenate([[0], np.cumsum(np.add.reduceat(np.diff(members.offsets.to_numpy()), np.cumsum(counts) - counts))]) if len(own) else [0]
+        merged = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), members.flatten())
+        ids = (np.int64(number) << 56) | (np.int64(TaskContext.get().partitionId()) << 32) | np.arange(len(own))
+        yield pa.RecordBatch.from_arrays([pa.array(ids, mask=fill[own] < full_from), pa.array(fill[own]), merged], ["sequence_id", "fill", "members"])
 
     return apply
 
@@ -114,9 +113,9 @@ def pack(
     capacity: int = 1024,
     size: str = "length",
     items_per_task: int = 50_000,
-    fan_in: int = 8,
-    carried: int = 4_096,
     full_from: float = 0.995,
+    apart_below: float = 0.875,
+    least_gain: float = 0.1,
 ) -> DataFrame:
     """The rows of `items` with `sequence_id` and `offset`, their place in the sequence."""
     ship(items.sparkSession)
@@ -126,16 +125,18 @@ def pack(
     place = items.columns.index(size)
     bins = rest.select(F.col(size).cast("bigint").alias("fill"), F.array(member).alias("members"))
     bins = stage(bins, "items")
-    tasks, number, results = max(1, -(-bins.count() // items_per_task)), 1, []
+    left, number, results, last, last_round = bins.count(), 1, [], False, False
     schema = f"sequence_id bigint, fill bigint, members {bins.schema['members'].dataType.simpleString()}"
-    while True:
-        spread = bins.repartition(tasks, F.xxhash64("members")) if tasks > 1 else bins.coalesce(1)
-        packed_bins = stage(spread.mapInArrow(_round(capacity, int(capacity * full_from) if tasks > 1 else 0, carried, number), schema), "bins")
+    while not last:
+        tasks = max(1, -(-left // items_per_task))
+        last = last_round or tasks == 1
+        spread = bins.repartition(tasks, F.xxhash64("members", F.lit(number))) if tasks > 1 else bins.coalesce(1)
+        limits = (0, 0) if last else (int(capacity * full_from), int(capacity * apart_below))
+        packed_bins = stage(spread.mapInArrow(_round(capacity, *limits, number), schema), "bins")
         results.append(packed_bins.filter("sequence_id IS NOT NULL").select("sequence_id", "members"))
-        if tasks == 1:
-            break
         bins = packed_bins.filter("sequence_id IS NULL").select("fill", "members")
-        tasks, number = -(-tasks // fan_in), number + 1
+        before, left, number = left, 0 if last else bins.count(), number + 1
+        last_round = left > before * (1 - least_gain)
     sequences = results[0]
     for more in results[1:]:
         sequences = sequences.unionAll(more)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from textlab.llm.workers import ship, slices
 
-RULE_VERSION = "5"
+RULE_VERSION = "6"
 FINDINGS = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 # A private key goes from its header to the END line of the same words, unless another block begins or ends before. Without that line it
@@ -45,7 +45,7 @@ RULES = [
     ("private_key", _PRIVATE_KEY, 0, 1),
     ("github", r"gh[oprsu]_[A-Za-z0-9]{36,}", 0, 1),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 1),
+    ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]+", 0, 1),
     ("url_login", r"[a-z][a-z0-9+]{1,15}://[^\s/:@]+:[^\s/:@]+@", 0, 1),
 ]
 BASE_KINDS = ("assign", "access", "hex")
@@ -87,14 +87,15 @@ def blob(text: str = "text"):
 
 
 def read_ledger(spark, folder: str) -> DataFrame:
-    """All scanned pairs; empty if there is no ledger yet."""
+    """All scanned pairs, each once, even if two runs have scanned it at the same time; empty if there is no ledger yet."""
     schema = f"blob binary, rule_version string, findings {FINDINGS}"
     try:
-        return spark.read.schema(schema).parquet(folder)
+        rows = spark.read.schema(schema).parquet(folder)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+    return rows.groupBy("blob", "rule_version").agg(F.first("findings").alias("findings"))
 
 
 def scan_new(documents: DataFrame, folder: str, text: str = "text", rule_version: str = RULE_VERSION) -> None:

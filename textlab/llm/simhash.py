@@ -28,13 +28,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textlab.llm.components import components
-from textlab.llm.word_hash import Runs, find_words, mixed
+from textlab.llm.word_hash import find_words
 from textlab.llm.workers import ship, slices
 from textlab.session import stage
 
 BITS = 64
-_WHOLE = 31  # low bits of a bucket that is a whole group and has no start of chains
-_MOST_BUDGET = 14  # two keys for each of 15 segments are numbered below _WHOLE
 
 
 def fingerprints_of(batch: pa.RecordBatch, width: int, seed: int) -> np.ndarray:
@@ -88,8 +86,8 @@ def segments(budget: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def bucket_keys(fingerprint: Column, table: Column, budget: int) -> Column:
-    """Keys of the buckets: a start segment with either half of the next one, the table, the number of the choice."""
+def bucket_keys(fingerprint: Column, budget: int) -> Column:
+    """Keys of the buckets: a start segment with either half of the next one, and the number of the choice."""
     parts = segments(budget)
 
     def bits(first: int, width: int) -> Column:
@@ -100,8 +98,7 @@ def bucket_keys(fingerprint: Column, table: Column, budget: int) -> Column:
         after, wide = parts[(i + 1) % len(parts)]
         for half, (a, w) in enumerate(((after, wide // 2), (after + wide // 2, wide - wide // 2))):
             joined = F.shiftleft(bits(first, width), w).bitwiseOR(bits(a, w))
-            place = F.shiftleft(table.cast("bigint"), 5).bitwiseOR(F.lit(2 * i + half))
-            keys.append(F.shiftleft(joined, 10).bitwiseOR(place))
+            keys.append(F.shiftleft(joined, 5).bitwiseOR(F.lit(2 * i + half)))
     return F.array(*keys)
 
 
@@ -158,7 +155,7 @@ def _link_sorted(budget: int, pairs_at_once: int = 1 << 20):
                 at = at[(side[at] == 2) | (side[at] != side[at + step])]
                 difference = value[at] ^ value[at + step]
                 place = bucket[at] & 31
-                ok = (place == _WHOLE) | _chain_holds(difference, (place >> 1).astype(np.int64), budget)
+                ok = _chain_holds(difference, (place >> 1).astype(np.int64), budget)
                 at, difference = at[ok], difference[ok]
                 distance = np.bitwise_count(difference)
                 ok = distance <= budget
@@ -199,30 +196,10 @@ def _and_end(batches):
 
 
 def near_links(prints: DataFrame, budget: int = 4, block: int = 2048) -> DataFrame:
-    """Links `(a, b)` of distinct nodes that connect all pairs within the budget; each link is such a pair.
-
-    `prints` has `(node, tables)`: one or more fingerprints; a pair has to be near in one of them.
-    """
-    valued = prints.select("node", F.posexplode("tables").alias("table", "value"))
-    return _bucket_links(valued.select("node", "value", F.explode(bucket_keys(F.col("value"), F.col("table"), budget)).alias("bucket")), budget, block)
-
-
-def near_links_in_groups(prints: DataFrame, budget: int, block: int = 2048, whole: int = 16_384) -> DataFrame:
-    """The same for `(node, group, value)` and pairs of the same group: linear in the rows as long as groups are small.
-
-    A group of at most `whole` rows is one bucket, compared in blocks. A larger one is cut into the buckets of the pigeonring,
-    which lose no pair within the budget; so the size of a group changes the work, not what the links connect.
-    """
-    if budget > _MOST_BUDGET:
-        raise ValueError(f"budget {budget} is above {_MOST_BUDGET}")
-    sizes = prints.groupBy("group").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    sizes = stage(sizes, "group-sizes")
-    rows = stage(prints.join(sizes, "group"), "grouped")
-    of_group = lambda low: F.shiftleft(F.xxhash64("group"), 10).bitwiseOR(low)
-    small = rows.filter(F.col("size") <= whole).select("node", "value", of_group(F.lit(_WHOLE)).alias("bucket"))
-    keyed = rows.filter(F.col("size") > whole).select("node", "value", "group", F.explode(bucket_keys(F.col("value"), F.lit(0), budget)).alias("key"))
-    mixed_key = F.shiftleft(F.xxhash64("group", "key"), 10).bitwiseOR(F.col("key").bitwiseAND(F.lit(31)))
-    return _bucket_links(small.unionAll(keyed.select("node", "value", mixed_key.alias("bucket"))), budget, block)
+    """Links `(a, b)` of distinct nodes `(node, value)` that connect all pairs within the budget; each link is such a pair."""
+    if not 0 <= budget < 16:
+        raise ValueError("two keys for each of at most 16 segments have numbers below 32")
+    return _bucket_links(prints.select("node", "value", F.explode(bucket_keys(F.col("value"), budget)).alias("bucket")), budget, block)
 
 
 def _bucket_links(keyed: DataFrame, budget: int, block: int) -> DataFrame:
@@ -258,213 +235,8 @@ def near_components(prints: DataFrame, key: str = "doc_id", budget: int = 4) ->
     """`(key, fingerprint, component_id)`: the smallest id that links reach, a row's own included."""
     staged = stage(prints.select(F.col(key).alias("key"), "fingerprint"), "fingerprints")
     distinct = stage(staged.groupBy("fingerprint").agg(F.min("key").alias("least")), "distinct")
-    roots = components(near_links(distinct.select(F.col("fingerprint").alias("node"), F.array("fingerprint").alias("tables")), budget))
+    roots = components(near_links(distinct.select(F.col("fingerprint").alias("node"), F.col("fingerprint").alias("value")), budget))
     linked = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = stage(linked.select("fingerprint", "root").join(named, "root").select("fingerprint", "component_id"), "classes")
     return staged.join(classes, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
-
-
-def _tables(width: int, count: int, similarity: float, small: int):
-    """Rows as `(key, content, tables, least, size, parity, rare)`: `count` fingerprints of the set of shingles and the least hash of each table.
-
-    Sets of at most `small` shingles have a parity, bit i set if an odd number of shingles falls on it, and their least shingles,
-    one of which they share with each similar set.
-    """
-    salts = mixed(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = shingle_sets(batch.column("text"), width)
-            found = np.zeros((2, batch.num_rows, count), np.uint64)
-            sizes = np.array([len(s) for s in sets], np.int64)
-            parity, rare = np.zeros(batch.num_rows, np.uint64), [[]] * batch.num_rows
-            prefix = prefix_lengths(sizes, similarity)
-            for row, shingles in enumerate(sets):
-                for table, salt in enumerate(salts if len(shingles) else ()):
-                    hashes = mixed(shingles ^ salt)
-                    found[:, row, table] = majority(hashes), hashes.min()
-                if 0 < len(shingles) <= small:
-                    parity[row] = np.bitwise_xor.reduce(np.uint64(1) << (shingles & np.uint64(63)))
-                    rare[row] = shingles[: prefix[row]].view(np.int64)
-            ends = pa.array(np.arange(0, batch.num_rows * count + 1, count), pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, pa.array(f.reshape(-1).view(np.int64))) for f in found]
-            more = [pa.array(sizes), pa.array(parity.view(np.int64)), pa.array(rare, pa.list_(pa.int64()))]
-            names = ["key", "content", "tables", "least", "size", "parity", "rare"]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("content"), *lists, *more], names)
-
-    return apply
-
-
-def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
-    """Distinct shingle hashes of each text; a shorter text is one shingle, one without words has none."""
-    words = find_words(pc.ascii_lower(pc.fill_null(column, "")))
-    runs, out = Runs(words.hashes), []
-    for low, high in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
-        starts = np.arange(low, max(high - width + 1, min(low + 1, high)))
-        out.append(np.unique(runs.of(starts, np.minimum(starts + width, high))))
-    return out
-
-
-def _shingles(width: int):
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = shingle_sets(batch.column("text"), width)
-            ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-            values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], ["node", "shingles"])
-
-    return apply
-
-
-def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    lengths = ends - starts
-    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-
-
-def prefix_lengths(sizes: np.ndarray, similarity: float) -> np.ndarray:
-    """Sets of that similarity share one of so many first members, whatever the order, if it is the same for all sets."""
-    return sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1
-
-
-def similar_pairs(flat: np.ndarray, sizes: np.ndarray, side: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Places of pairs of sets that connect all pairs of that Jaccard similarity; each is such a pair, by the whole sets.
-
-    The sets lie in `flat` one after the other; none is empty. Pairs are of side 2, or of sides 0 and 1. From each set the search goes to those not yet
-    reached that share one of its rarest members, so a group of near copies costs its size and not its square.
-    """
-    count = len(sizes)
-    first = np.concatenate([[0], np.cumsum(sizes)])
-    owner = np.repeat(np.arange(count), sizes)
-    members, code, found = np.unique(flat, return_inverse=True, return_counts=True)
-    rank = np.empty(len(members), np.int64)
-    rank[np.argsort(found, kind="stable")] = np.arange(len(members))
-    code = rank[code]
-    code = code[np.lexsort((code, owner))]
-    prefix = prefix_lengths(sizes, similarity)
-    listed = np.flatnonzero(np.arange(len(flat)) - first[owner] < prefix[owner])
-    listed = listed[np.argsort(code[listed], kind="stable")]
-    of_code = lambda: np.searchsorted(code[listed], np.arange(len(members) + 1))
-    starts, indexed = of_code(), count
-    waiting, marked, left, links = np.ones(count, bool), np.zeros(len(members), bool), count, []
-    for seed in range(count):
-        if not waiting[seed]:
-            continue
-        waiting[seed], left, reached = False, left - 1, [seed]
-        while reached and left:
-            x = reached.pop()
-            own = code[first[x] : first[x + 1]]
-            head = own[: prefix[x]]
-            near = owner[listed[_ranges(starts[head], starts[head + 1])]]
-            near = near[waiting[near] & ((side[x] == 2) | (side[near] != side[x]))]
-            near = np.unique(near)
-            near = near[np.minimum(sizes[near], sizes[x]) >= similarity * np.maximum(sizes[near], sizes[x]) - 1e-9]
-            if not len(near):
-                continue
-            marked[own] = True
-            both = marked[code[_ranges(first[near], first[near + 1])]].astype(np.int64)
-            marked[own] = False
-            common = np.add.reduceat(both, np.cumsum(sizes[near]) - sizes[near])
-            near = near[common >= similarity * (sizes[x] + sizes[near] - common)]
-            waiting[near], left = False, left - len(near)
-            links.append((np.full(len(near), x), near))
-            reached += near.tolist()
-            if left * 2 < indexed:
-                listed = listed[waiting[owner[listed]]]
-                starts, indexed = of_code(), left
-    if not links:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    a, b = (np.concatenate(c) for c in zip(*links))
-    return a, b
-
-
-def _similar_sorted(similarity: float):
-    """Links of the rows `(bucket, left, right, side, node, shingles)` that share (bucket, left, right), sorted by these."""
-
-    def run(rows: pa.Table, bounds: np.ndarray):
-        node, side = rows.column("node").to_numpy(), rows.column("side").to_numpy()
-        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            if high - low < 2:
-                continue
-            sets = rows.slice(low, high - low).column("shingles").combine_chunks()
-            a, b = similar_pairs(sets.flatten().to_numpy(), pc.list_value_length(sets).to_numpy().astype(np.int64), side[low:high], similarity)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(node[low:high][a]), pa.array(node[low:high][b])], ["a", "b"])
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in _and_end(batches):
-            if batch is not None:
-                table = pa.Table.from_batches([batch])
-                rest = table if rest is None else pa.concat_tables([rest, table])
-            if rest is None or not rest.num_rows:
-                continue
-            keys = [rest.column(c).to_numpy() for c in ("bucket", "left", "right")]
-            starts = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
-            bounds = np.concatenate([starts, [rest.num_rows]]) if batch is None else starts
-            yield from run(rest, bounds)
-            rest = rest.slice(int(bounds[-1]))
-
-    return apply
-
-
-def similar_links(sets: DataFrame, roots: DataFrame, similarity: float, block_shingles: int) -> DataFrame:
-    """Links `(a, b)` that connect all pairs of `(node, shingles)` with the same root and that similarity; each is such a pair.
-
-    The sets with one root are a bucket, in blocks of about `block_shingles`; each pair of blocks is a task.
-    """
-    rows = stage(sets.join(roots, "node").select(F.col("root").alias("bucket"), "node", "shingles"), "of-root")
-    sizes = stage(rows.groupBy("bucket").agg(F.ceil(F.sum(F.size("shingles")) / block_shingles).cast("int").alias("blocks")), "root-sizes")
-    return _pairs_of_blocks(rows.join(sizes, "bucket"), "shingles").mapInArrow(_similar_sorted(similarity), "a bigint, b bigint")
-
-
-def similar_groups(
-    documents: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    width: int = 5,
-    similarity: float = 0.8,
-    budget: int = 14,
-    tables: int = 10,
-    small: int = 32,
-    block: int = 2048,
-    whole: int = 16_384,
-    block_shingles: int = 1 << 20,
-) -> DataFrame:
-    """`(key, content, component_id, stays)` of texts whose sets of word shingles are similar, directly or over others.
-
-    Each table hashes the shingles anew. Candidates: pairs that share the least hash of a table and are near in its
-    fingerprint. At a similarity of 0.8 a table has 0.76 of the pairs, ten tables all but one in a million. Small sets would
-    lose more: up to `small` shingles they are candidates if they share one of their least shingles and their parities differ
-    in no more bits than such sets can differ in shingles, which loses none. Sets of up to `small / similarity` go both ways.
-    What candidates connect is a group; inside it all whole shingle sets are compared, so a link is left out only if the
-    Jaccard similarity is below `similarity` or other links connect its ends. Texts with the same fingerprints and least
-    hashes throughout are one node. Texts without words are similar to each other.
-    `content` is the XXH64 of the text; the row with the least (key, content) of a component stays, one without a key only if none has one.
-    """
-    ship(documents.sparkSession)
-    rows = documents.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("content"), F.col(f"`{text}`").alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
-    both_ways = int(small / similarity + 1e-9)
-    columns = f"key {kind}, content bigint, tables array<bigint>, least array<bigint>, size bigint, parity bigint, rare array<bigint>"
-    found = rows.mapInArrow(_tables(width, tables, similarity, both_ways), columns)
-    staged = stage(found.withColumn("node", F.xxhash64("tables", "least")), "fingerprints")
-    place = F.struct(F.isnull("key").alias("no_key"), "key", "content")
-    of_node = [F.min(place).alias("least"), F.first(F.arrays_zip("tables", F.col("least").alias("hashes"))).alias("tables"), F.first(F.struct("size", "parity", "rare")).alias("set")]
-    nodes = stage(staged.groupBy("node").agg(*of_node), "nodes")
-    valued = nodes.filter(F.col("set.size") > small).select("node", F.posexplode("tables").alias("table", "x"))
-    valued = valued.select("node", F.xxhash64("table", "x.hashes").alias("group"), F.col("x.tables").alias("value"))
-    listed = nodes.filter(F.size("set.rare") > 0).select("node", F.explode("set.rare").alias("group"), F.col("set.parity").alias("value"))
-    differing = int(2 * both_ways * (1 - similarity) / (1 + similarity) + 1e-9)  # shingles that only one of two similar sets has
-    links = near_links_in_groups(valued, budget, block, whole).unionAll(near_links_in_groups(listed, differing, block, whole))
-    near = stage(components(links), "candidates")
-    wanted = nodes.select("node", F.col("least.key").alias("of_key"), F.col("least.content").alias("of_content")).join(near.select("node"), "node")
-    texts = rows.join(wanted, [F.col("key").eqNullSafe(F.col("of_key")), F.col("content") == F.col("of_content")]).select("node", "text")
-    sets = stage(texts.mapInArrow(_shingles(width), "node bigint, shingles array<bigint>"), "shingles")
-    sets = stage(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
-    roots = components(similar_links(sets, near, similarity, block_shingles))
-    linked = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = linked.groupBy("root").agg(F.min("least").alias("first"))
-    classes = stage(linked.select("node", "root").join(named, "root").select("node", "first"), "classes")
-    stays = place.eqNullSafe(F.col("first")).alias("stays")
-    return staged.select("key", "content", "node").join(classes, "node").select(F.col("key").alias(key), "content", F.col("first.key").alias("component_id"), stays)

@@ -189,12 +189,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def without_repeats(documents: DataFrame, keep: Sequence[str], key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows with the columns in `keep`, their text without passages that came before; a row of nothing else goes."""
-    found = repeated_passages(documents, key, text, **options).select(F.col(key).alias("_id"), F.col("content").alias("_content"), "removed")
-    found = stage(found.filter(F.size("removed") > 0).dropDuplicates(["_id", "_content"]), "removed")
+    found = repeated_passages(documents, key, text, **options)
+    found = found.select(F.col(f"`{key}`").alias("of_id"), F.col("content").alias("of_content"), "removed")
+    found = stage(found.filter(F.size("removed") > 0).dropDuplicates(["of_id", "of_content"]), "removed")
     others = [c for c in keep if c != text]
-    rows = documents.withColumn("_hash", F.xxhash64(F.col(f"`{text}`")))
-    joined = rows.join(found, [rows[f"`{key}`"].eqNullSafe(found["_id"]), rows["_hash"] == found["_content"]], "left")
-    source = joined.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(others)], F.col(f"`{text}`").alias("text"), "removed")
-    schema = ", ".join([*[f"_{i} {f.dataType.simpleString()}" for i, f in enumerate(source.schema.fields[:-2])], "text string"])
-    names = {c: F.col(f"_{i}").alias(c) for i, c in enumerate(others)} | {text: F.col("text").alias(text)}
-    return source.mapInArrow(_cut, schema).select(*[names[c] for c in keep])
+    own = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]) if others else F.struct(F.lit(0).alias("c0"))
+    rows = documents.select(own.alias("row"), F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("content"), F.col(f"`{text}`").alias("text"))
+    joined = rows.join(found, [F.col("id").eqNullSafe(F.col("of_id")), F.col("content") == F.col("of_content")], "left").select("row", "text", "removed")
+    whole = joined.mapInArrow(_cut, f"row {joined.schema['row'].dataType.simpleString()}, text string")
+    names = {c: F.col(f"row.c{i}").alias(c) for i, c in enumerate(others)} | {text: F.col("text").alias(text)}
+    return whole.select(*[names[c] for c in keep])

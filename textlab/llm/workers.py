@@ -1,37 +1,16 @@
-"""What the Python tasks of this folder share: shipping the package, reading batches, picking columns."""
+"""What the Python tasks of this folder share: shipping the package and reading batches."""
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
 
-import textlab
+from textlab.session import ship  # noqa: F401
 
 SLICE_BYTES = 4 << 20
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send the package to the executors once per application, so that tasks can import it anywhere."""
-    application = spark.sparkContext.applicationId
-    if application in _shipped:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(textlab.__file__)))
-    folder = tempfile.mkdtemp(prefix="textlab-code-")  # on the driver only; Spark serves the file
-    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/textlab", "zip", root, "textlab"))
-    _shipped.add(application)
-
-
-def only(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns of the input, whatever others it has."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -59,6 +38,3 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
-
-def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t.type) if not isinstance(c, pa.Array) else c for c, t in zip(columns, schema)], schema=schema)
