@@ -6,7 +6,7 @@ stay as they are. A text that a stage changes gets its new length in `n_chars`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textlab.llm import packing, secret_scan, simhash, suffix_dedup, toxicity
 from textlab.llm.queries import VOCABULARY, toxicity_model
@@ -17,41 +17,84 @@ ORACLE_SQL = None
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score below one half."""
-    scored = toxicity.score(docs, toxicity_model(docs, sf_dir), docs.columns, out="_toxicity")
-    return scored.filter("_toxicity < 0.5").select(*docs.columns)
+    """Documents with a toxicity score below one half.
+
+    Null and empty texts have the score of the model's intercept. Rows given twice both stay or both go. Any column names do.
+    """
+    out = unused(docs, "score")
+    scored = toxicity.score(docs, toxicity_model(docs, sf_dir), docs.columns, out=out)
+    return scored.filter(F.col(out) < 0.5).select(*[quoted(c) for c in docs.columns])
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts: five-word shingles, similarity 0.8 or more.
+    """One document of each group of the SimHash operator, with its defaults: four-word shingles, at most 4 differing bits.
 
-    Rows with the same id and text are one document. The join has placed the rows by id before the last step.
+    The row with the least id stays, one without an id only if its group has no other; then the least hash of the text. Rows with the
+    same id and text are one document, of which the row with the least hash of its columns stays. Null texts are empty, and empty
+    texts are copies of each other. Any column names do.
     """
-    groups = simhash.similar_groups(docs).filter("stays").select(F.col("doc_id").alias("_id"), F.col("content").alias("_content")).distinct()
-    rows = docs.withColumn("_hash", F.xxhash64("text"))
-    kept = rows.join(stage(groups, "kept"), [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("_hash") == F.col("_content")], "left_semi")
-    return kept.dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
+    key = F.struct(F.isnull("doc_id").alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("content"))
+    keyed = docs.select(key.alias("doc_id"), "text")
+    groups = simhash.near_components(stage(simhash.fingerprints(keyed), "fingerprints"))
+    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.id").alias("of_id"), F.col("doc_id.content").alias("of_content")).distinct()
+    rows = docs.select(row_of(docs).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("content"))
+    same = [F.col("id").eqNullSafe(F.col("of_id")), F.col("content") == F.col("of_content")]
+    found = rows.join(stage(kept, "kept"), same, "left_semi")
+    comparable = [F.col(f"row.c{i}") for i, f in enumerate(docs.schema.fields) if "map<" not in f.dataType.simpleString()]
+    one_each = found.groupBy("id", "content").agg(F.min_by("row", F.xxhash64(*comparable)).alias("row"))
+    return columns_of(one_each, docs)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words or more stay where they are first found."""
+    """Passages of 50 words or more stay where they are first found; a text of nothing else goes.
+
+    Null, empty and short texts stay as they are. Rows given twice are the same place and are cut alike. Any column names do.
+    """
     return recounted(suffix_dedup.without_repeats(docs, docs.columns))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; each text is scanned once, by way of the ledger."""
+    """Secrets are replaced by a mark; each text is scanned once, by way of the ledger.
+
+    Null and empty texts stay as they are, every row stays. Any column names do.
+    """
     ledger = new_folder(spark, "ledger")
     secret_scan.scan_new(docs, ledger)
     found = secret_scan.read_ledger(spark, ledger).filter(F.size("findings") > 0).select("blob", "findings")
-    rows = docs.withColumn("blob", secret_scan.blob()).join(found, "blob", "left")
-    return recounted(secret_scan.redact(rows, docs.columns))
+    rows = docs.select(row_of(docs).alias("row"), "text", secret_scan.blob().alias("blob")).join(found, "blob", "left")
+    redacted = secret_scan.redact(rows, ["row", "text"])
+    return recounted(columns_of(redacted.withColumn("row", F.col("row").withField(f"c{docs.columns.index('text')}", F.col("text"))), docs))
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of all pieces of all documents in sequences of 1024 tokens."""
+    """Places of all pieces of all documents in sequences of 1024 tokens.
+
+    Null and empty texts are the end id alone; rows given twice are packed twice. Only the id and the text are read.
+    """
     return packing.packed_documents(docs, VOCABULARY)
 
 
+def quoted(name: str) -> Column:
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def row_of(docs: DataFrame) -> Column:
+    """All columns as one, so that no name of theirs meets one of a stage."""
+    return F.struct(*[quoted(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
+
+
+def columns_of(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def recounted(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
         return docs
