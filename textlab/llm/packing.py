@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from textlab.llm.tokens import Vocabulary, library_encoder, packed
+from textlab.llm.tokens import Vocabulary, library_encoder
 from textlab.llm.workers import ship, slices
 from textlab.session import stage
 
@@ -30,26 +30,23 @@ def pieces(documents: DataFrame, path: str, key: str = "doc_id", text: str = "te
     """`(key, piece, start, length, ids_crc32)` of all pieces of whole texts."""
     ship(documents.sparkSession)
     vocabulary = Vocabulary.read(documents.sparkSession, path)
-    end = packed([end_id])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(vocabulary)
         for batch in slices(batches):
-            row, piece, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                ids = encoder.encode(text) + end
-                size = len(ids) // 4
-                at, number = 0, 0
-                while at < size:
-                    to = at + ((size - at) % capacity or capacity) if at == 0 else at + capacity
-                    row.append(i)
-                    piece.append(number)
-                    start.append(at)
-                    length.append(to - at)
-                    crc.append(zlib.crc32(ids[4 * at : 4 * to]))
-                    at, number = to, number + 1
+            ids, first = encoder.encode_batch(batch.column("text"), end_id)
+            sizes = np.diff(first)
+            counts = -(-sizes // capacity)
+            row = np.repeat(np.arange(batch.num_rows), counts)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            short = sizes - (counts - 1) * capacity  # the first piece
+            start = np.where(piece == 0, 0, short[row] + (piece - 1) * capacity)
+            length = np.where(piece == 0, short[row], capacity)
+            at = first[row] + start
+            flat = memoryview(ids.tobytes())
+            crc = [zlib.crc32(flat[4 * a : 4 * b]) for a, b in zip(at.tolist(), (at + length).tolist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
+                [batch.column("key").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
                 ["key", "piece", "start", "length", "ids_crc32"],
             )
 

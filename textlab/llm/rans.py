@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from textlab.llm.tokens import Vocabulary, library_encoder, packed
+from textlab.llm.tokens import Vocabulary, library_encoder
 from textlab.llm.workers import ship, slices
-from textlab.session import new_folder
+from textlab.session import new_folder, stage
 
 BLOCK = "part int, first bigint, keys array<{kind}>, lengths binary, n_tokens bigint, lanes int, states binary, words binary, checkpoints binary, payload_crc32 bigint, ids_crc32 bigint"
 _LOW = np.uint64(31)  # a state stays in [2^31, 2^63)
@@ -122,28 +122,38 @@ def lanes_for(count: int, most: int) -> int:
     return max(1, min(most, count // 64))
 
 
-def _tokenised(vocabulary: Vocabulary, end: bytes):
-    """Ids of each text as two planes of bytes, the low and the high one, or four-byte ids for a larger vocabulary."""
-    narrow = vocabulary.size <= 1 << 16
+def _planes(ids: np.ndarray, first: np.ndarray, byte: int) -> pa.Array:
+    """One byte of each id, as a binary value for each text."""
+    data = np.ascontiguousarray(ids.view(np.uint8).reshape(-1, 4)[:, byte])
+    return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer(first.astype(np.int32)), pa.py_buffer(data)])
+
+
+def _tokenised(vocabulary: Vocabulary, end: int, size: int):
+    """Ids of each text as two planes of bytes, the low and the high one, or four-byte ids for a larger vocabulary.
+
+    After its texts a task gives one row at place -1, the ids it has seen (`low`) and how often (`high`), so that nothing is read again to count.
+    """
+    narrow = size <= 1 << 16
+    names = ["part", "place", "key", "low", "high"]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(vocabulary)
-        rows = 0
+        encoder, part, rows, totals, kind = library_encoder(vocabulary), TaskContext.get().partitionId(), 0, np.zeros(size, np.int64), None
         for batch in slices(batches):
-            low, high = [], []
-            for text in batch.column("text").to_pylist():
-                ids = encoder.encode(text) + end
-                if narrow:
-                    planes = np.frombuffer(ids, np.uint8).reshape(-1, 4)
-                    low.append(planes[:, 0].tobytes())
-                    high.append(planes[:, 1].tobytes())
-                else:
-                    low.append(ids)
-                    high.append(None)
-            part = pa.array(np.full(batch.num_rows, TaskContext.get().partitionId(), np.int32))
-            place = pa.array(np.arange(rows, rows + batch.num_rows))
+            kind = batch.schema.field("key").type
+            ids, first = encoder.encode_batch(batch.column("text"), end)
+            totals += np.bincount(ids, minlength=size)
+            if narrow:
+                low, high = _planes(ids, first, 0), _planes(ids, first, 1)
+            else:
+                low = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((4 * first).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids))])
+                high = pa.nulls(batch.num_rows, pa.binary())
+            place = np.arange(rows, rows + batch.num_rows)
             rows += batch.num_rows
-            yield pa.RecordBatch.from_arrays([part, place, batch.column("key"), pa.array(low, pa.binary()), pa.array(high, pa.binary())], ["part", "place", "key", "low", "high"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(batch.num_rows, part, np.int32)), pa.array(place), batch.column("key"), low, high], names)
+        if rows:
+            seen = np.flatnonzero(totals)
+            values = [pa.array([part], pa.int32()), pa.array([-1], pa.int64()), pa.nulls(1, kind), pa.array([seen.astype("<u4").tobytes()]), pa.array([totals[seen].astype("<i8").tobytes()])]
+            yield pa.RecordBatch.from_arrays(values, names)
 
     return apply
 
@@ -154,18 +164,10 @@ def _ids(low: bytes, high: bytes | None) -> np.ndarray:
     return np.frombuffer(low, np.uint8).astype(np.uint32) | (np.frombuffer(high, np.uint8).astype(np.uint32) << 8)
 
 
-def _counted(size: int):
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros(size, np.int64)
-        for batch in batches:
-            for low, high in zip(batch.column("low").to_pylist(), batch.column("high").to_pylist()):
-                totals += np.bincount(_ids(low, high), minlength=size) if len(low) > size else 0
-                if len(low) <= size:
-                    np.add.at(totals, _ids(low, high), 1)
-        found = np.flatnonzero(totals)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(totals[found])], ["id", "n"])
-
-    return apply
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for seen, counts in zip(batch.column("low").to_pylist(), batch.column("high").to_pylist()):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(seen, "<u4").astype(np.int64)), pa.array(np.frombuffer(counts, "<i8"))], ["id", "n"])
 
 
 def _blocks(shared: Broadcast, block_tokens: int, lanes: int, checkpoint_steps: int):
@@ -228,16 +230,16 @@ def write_ids(
     kind = rows.schema["key"].dataType.simpleString()
     ordered = rows.repartitionByRange("key").sortWithinPartitions("key")
     aside = new_folder(spark, "ids")
-    ordered.mapInArrow(_tokenised(vocabulary, packed([end_id])), f"part int, place bigint, key {kind}, low binary, high binary").write.option("compression", "zstd").parquet(aside)
-    staged = spark.read.parquet(aside)
     size = max(vocabulary.size, end_id + 1)
-    counted = staged.select("low", "high").mapInArrow(_counted(size), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    ordered.mapInArrow(_tokenised(vocabulary, end_id, size), f"part int, place bigint, key {kind}, low binary, high binary").write.option("compression", "zstd").parquet(aside)
+    staged = spark.read.parquet(aside)
+    counted = staged.filter("place < 0").select("low", "high").mapInArrow(_counts, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(size, np.int64)  # as many as the vocabulary has
     counts[counted.column("id").to_numpy()] = counted.column("n").to_numpy()
     frequency = scaled(counts, bits)
     spark.createDataFrame(pa.table({"id": np.flatnonzero(frequency), "frequency": frequency[frequency > 0]})).coalesce(1).write.parquet(f"{folder}/table")
     shared = spark.sparkContext.broadcast(FrequencyTable.of(frequency))  # 2^bits slots
-    coded = staged.mapInArrow(_blocks(shared, block_tokens, lanes, checkpoint_steps), BLOCK.format(kind=kind))
+    coded = staged.filter("place >= 0").mapInArrow(_blocks(shared, block_tokens, lanes, checkpoint_steps), BLOCK.format(kind=kind))
     coded.write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
@@ -250,34 +252,31 @@ def read_table(spark: SparkSession, folder: str) -> FrequencyTable:
     return FrequencyTable.of(frequency)
 
 
-def _decoded(shared: Broadcast):
+def _decoded(shared: Broadcast, whole: bool):
+    """Documents of each block: their ids, or only how many there are and their checksum."""
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "words"):
             for row in batch.to_pylist():
                 if payload_check(row["states"], row["words"], row["checkpoints"], row["lengths"]) != row["payload_crc32"]:
                     raise ValueError(f"block {row['part']}:{row['first']} is damaged")
                 ids = decode_block(row["n_tokens"], row["lanes"], row["states"], row["words"], shared.value)
-                flat = ids.astype("<u4").tobytes()
+                flat = memoryview(ids.astype("<u4").tobytes())
                 if zlib.crc32(flat) != row["ids_crc32"]:
                     raise ValueError(f"block {row['part']}:{row['first']} does not decode to what was coded")
                 ends = np.cumsum(np.frombuffer(row["lengths"], "<u4").astype(np.int64))
                 starts = np.concatenate([[0], ends[:-1]])
                 docs = [flat[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
-                count = len(docs)
-                kind = batch.schema.field("keys").type.value_type
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["part"]] * count, pa.int32()), pa.array([row["first"]] * count, pa.int64()), pa.array(row["keys"], kind), pa.array(starts), pa.array(docs, pa.binary())],
-                    ["part", "first", "key", "start", "ids"],
-                )
+                count, kind = len(docs), batch.schema.field("keys").type.value_type
+                place = [pa.array([row["before"]] * count, pa.int64()), pa.array(row["keys"], kind), pa.array(starts)]
+                found = [pa.array([bytes(d) for d in docs], pa.binary())] if whole else [pa.array(ends - starts), pa.array([zlib.crc32(d) for d in docs], pa.int64())]
+                yield pa.RecordBatch.from_arrays([*place, *found], ["before", "key", "start", *(["ids"] if whole else ["n_tokens", "ids_crc32"])])
 
     return apply
 
 
-def read_ids(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
-    """`(key, start, ids)` of all documents of a file set: every block is checked and decodes on its own.
-
-    The ids before a block are those of the parts before its own and of the blocks before it in its part.
-    """
+def _read(spark: SparkSession, folder: str, key: str, whole: bool) -> DataFrame:
+    """The ids before a block are those of the parts before its own and of the blocks before it in its part."""
     ship(spark)
     blocks = spark.read.parquet(f"{folder}/blocks")
     kind = blocks.schema["keys"].dataType.elementType.simpleString()
@@ -288,6 +287,17 @@ def read_ids(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame
     parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("of_parts"))  # a row per range of keys
     inside = Window.partitionBy("part").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.withColumn("in_part", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(parts, "part")
-    before = before.select("part", "first", (F.col("of_parts") + F.col("in_part")).alias("before"))
-    rows = blocks.mapInArrow(_decoded(shared), f"part int, first bigint, key {kind}, start bigint, ids binary")
-    return rows.join(F.broadcast(before), ["part", "first"]).select(F.col("key").alias(key), (F.col("before") + F.col("start")).alias("start"), "ids")
+    before = stage(before.select("part", "first", (F.col("of_parts") + F.col("in_part")).alias("before")), "block-places")
+    found = "ids binary" if whole else "n_tokens bigint, ids_crc32 bigint"
+    rows = blocks.join(before, ["part", "first"]).mapInArrow(_decoded(shared, whole), f"before bigint, key {kind}, start bigint, {found}")
+    return rows.select(F.col("key").alias(key), (F.col("before") + F.col("start")).alias("start"), *[c.split(" ")[0] for c in found.split(", ")])
+
+
+def read_ids(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
+    """`(key, start, ids)` of all documents of a file set: every block is checked and decodes on its own."""
+    return _read(spark, folder, key, True)
+
+
+def read_checksums(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
+    """`(key, start, n_tokens, ids_crc32)`, the same of decoded ids that stay in their task."""
+    return _read(spark, folder, key, False)

@@ -12,10 +12,14 @@ import functools
 import hashlib
 import json
 import re
-import struct
+import sys
+from array import array
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
@@ -25,6 +29,8 @@ MEMO_PIECES = 600_000
 LONGEST_KEPT = 48  # characters of a piece that is worth keeping
 _NOT_SIMPLE = re.compile(r" (?=\s|\Z)")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+# The same as `_NOT_SIMPLE` for a library whose `\s` is ASCII only.
+_NOT_SIMPLE_ASCII = r" (?:[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
 
 
 def byte_letters() -> dict[int, str]:
@@ -57,7 +63,10 @@ class Vocabulary:
 
 
 def packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
 
 
 class _Memo(dict):
@@ -68,13 +77,17 @@ class _Memo(dict):
 
     def __init__(self, encode_word: Callable[[str], bytes], split: Callable, lead: str, simple: bool) -> None:
         self.encode_word, self.split, self.lead, self.simple = encode_word, split, lead, simple
+        self.letter_lead = "".join(_LETTERS[b] for b in lead.encode())
 
     def __missing__(self, piece: str) -> bytes:
         parts = _SIMPLE.fullmatch(piece) if self.simple else None
         if parts is None:
             ids = b"".join([self.encode_word(word) for word, _ in self.split(self.lead + piece)])
         elif parts[1] == piece and piece:
-            ids = self.encode_word((self.lead + piece).encode().decode("latin-1").translate(_LETTERS))
+            if piece.isascii():  # letters stand for themselves
+                ids = self.encode_word(self.letter_lead + piece)
+            else:
+                ids = self.encode_word((self.lead + piece).encode().decode("latin-1").translate(_LETTERS))
         elif parts[1]:
             ids = self[parts[1]] + self.rest[piece[len(parts[1]) :]]
         else:
@@ -112,6 +125,42 @@ class TextEncoder:
         return b"".join(self.added.get(part) or self._plain(part) for part in self.cut.split(text) if part)
 
 
+    def encode_batch(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many texts in a row, each with the id `end` after it, and the place of the first id of each and the number of all.
+
+        Pieces are numbered by the batch's own dictionary, so that a piece that comes often is looked up once.
+        """
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, _NOT_SIMPLE_ASCII)
+        for content in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, content))
+        odd = odd.to_numpy(zero_copy_only=False) | (pc.binary_length(texts).to_numpy() == 0)
+        plain = np.flatnonzero(~odd)
+        pieces = pc.split_pattern(texts.take(pa.array(plain)), " ")
+        offsets = pieces.offsets.to_numpy()
+        counts = np.ones(len(texts), np.int64)
+        counts[plain] = np.diff(offsets)
+        counts += end is not None
+        first = np.concatenate([[0], np.cumsum(counts)])
+        known = pieces.flatten().dictionary_encode()
+        table = list(map(self.later.__getitem__, known.dictionary.to_pylist()))
+        heads = pieces.flatten().take(pa.array(offsets[:-1])).to_pylist()
+        size = len(table)
+        table += [self.first[head] for head in heads]
+        table += [self.encode(text) for text in texts.take(pa.array(np.flatnonzero(odd))).to_pylist()]
+        table.append(packed([end]) if end is not None else b"")
+        code = np.full(int(first[-1]), len(table) - 1, np.int64)
+        inner = counts[plain] - (end is not None)
+        code[np.repeat(first[plain] - offsets[:-1], inner) + np.arange(offsets[-1] - offsets[0])] = known.indices.to_numpy()
+        code[first[plain]] = size + np.arange(len(plain))
+        code[first[:-1][odd]] = size + len(plain) + np.arange(int(odd.sum()))
+        lengths = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        flat, begin, own = np.frombuffer(b"".join(table), "<u4"), np.cumsum(lengths) - lengths, lengths[code]
+        ends = np.concatenate([[0], np.cumsum(own)])
+        ids = flat[np.repeat(begin[code] - ends[:-1], own) + np.arange(ends[-1])]
+        return ids, ends[first]
+
+
 @functools.lru_cache(maxsize=2)
 def _library_encoder(digest: str, text: str) -> TextEncoder:
     tokenizer = Tokenizer.from_str(text)
