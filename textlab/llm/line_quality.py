@@ -18,28 +18,45 @@ from textlab.session import stage
 
 SPACE = r"[\x20\x09-\x0D]"
 _BLANKS = " \t\n\x0b\x0c\r"
+_PLACE_BITS = 24  # of a number that holds the upper bits of a hash, too
 
 
 def words_of(text: Column) -> Column:
     """Runs without ASCII white space."""
-    return F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
+    inner = F.btrim(text, F.lit(_BLANKS))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, SPACE + "+"))
 
 
 def with_repeated_words(rows: DataFrame, words: str, out: str, width: int = 3) -> DataFrame:
     """Add the number of words inside windows of `width` words that come twice or more, the first time included.
 
-    Windows are hashed and sorted with their place; those next to an equal hash are repeated. A place covers `width`
-    words, less what the next place covers. Each step is a column, so that no lambda computes an array anew.
+    Windows are hashed; a text whose windows all differ is done. In the others, the upper bits of a hash and its place are one number; these are
+    sorted, and those next to the same hash are repeated. Should two different hashes share their upper bits, or a place need
+    more bits, the text goes the long way, by pairs of whole hashes and places. A place covers `width` words, less what the
+    next place covers. Each step is a column, so that no lambda computes an array anew.
     """
-    window = lambda i: F.struct(F.xxhash64(*[F.get(words, i + j) for j in range(width)]).alias("h"), i.alias("i"))
+    low = F.lit((1 << _PLACE_BITS) - 1)
     last = F.size(words) - width
-    sorted_rows = rows.withColumn("_sorted", F.when(last >= 0, F.array_sort(F.transform(F.sequence(F.lit(0), last), window))))
-    beside = lambda x, i: (F.get("_sorted", i - 1)["h"] == x["h"]) | (F.get("_sorted", i + 1)["h"] == x["h"])
-    places = F.array_sort(F.transform(F.filter("_sorted", beside), lambda x: x["i"]))
-    placed = sorted_rows.withColumn("_places", places).drop("_sorted")
+    window = lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(width)])
+    rows = rows.withColumn("_hashes", F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), window)))
+    again = F.size("_hashes") > F.size(F.array_distinct("_hashes"))
+    number = lambda h, i: h.bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("bigint"))
+    rows = rows.withColumn("_numbers", F.when(again, F.sort_array(F.transform("_hashes", number))))
+    alike = lambda x, y: F.shiftrightunsigned(x.bitwiseXOR(y), _PLACE_BITS) == 0
+    near = lambda x, j: F.coalesce(alike(x, F.get("_numbers", j - 1)), F.lit(False)) | F.coalesce(alike(x, F.get("_numbers", j + 1)), F.lit(False))
+    rows = rows.withColumn("_near", F.filter("_numbers", near))
+    whole = lambda x: F.get("_hashes", x.bitwiseAND(low).cast("int"))
+    differs = lambda x, j: (j > 0) & alike(x, F.get("_near", j - 1)) & (whole(x) != whole(F.get("_near", j - 1)))
+    long_way = (F.size("_hashes") > 1 << _PLACE_BITS) | (F.size(F.filter("_near", differs)) > 0)
+    rows = rows.withColumn("_pairs", F.when(long_way, F.array_sort(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    beside = lambda x, j: (F.get("_pairs", j - 1)["h"] == x["h"]) | (F.get("_pairs", j + 1)["h"] == x["h"])
+    by_pairs = F.transform(F.filter("_pairs", beside), lambda x: x["i"])
+    by_numbers = F.transform("_near", lambda x: x.bitwiseAND(low).cast("int"))
+    rows = rows.withColumn("_places", F.sort_array(F.when(F.col("_pairs").isNotNull(), by_pairs).otherwise(by_numbers)))
     step = lambda p, i: F.coalesce(F.least(F.lit(width), F.get("_places", i + 1) - p), F.lit(width))
     total = F.aggregate(F.transform("_places", step), F.lit(0), lambda total, x: total + x)
-    return placed.withColumn(out, F.when(F.size("_places") > 0, total).otherwise(0).cast("bigint")).drop("_places")
+    counted = rows.withColumn(out, F.when(F.size("_places") > 0, total).otherwise(0).cast("bigint"))
+    return counted.drop("_hashes", "_numbers", "_near", "_pairs", "_places")
 
 
 def statistics(documents: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
@@ -54,8 +71,8 @@ def statistics(documents: DataFrame, key: str = "doc_id", text: str = "text", ho
         F.octet_length("text").alias("size"),
         "words",
         F.size("words").cast("bigint").alias("n_words"),
-        F.length(F.translate("text", _BLANKS, "")).cast("bigint").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("bigint").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
+        F.regexp_count("text", F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
     )
     return with_repeated_words(rows, "words", "n_repeat_words").drop("words")
