@@ -385,7 +385,10 @@ def test_weights_and_buckets(spark):
 # --- quality
 
 
-def test_line_quality(docs, rows):
+@pytest.mark.parametrize("bits", [24, 61, 3])
+def test_line_quality(docs, rows, monkeypatch, bits):
+    """With 61 bits for places, different hashes share their upper bits; with 3, places do not fit: both go the long way."""
+    monkeypatch.setattr(line_quality, "_PLACE_BITS", bits)
     normal = lambda l: re.sub(r"[\x20\x09-\x0D]+", " ", re.sub("[0-9]", "0", l.lower())).strip(" ")
     lines = lambda t: [l for l in (t or "").split("\n") if WORD.search(l)]
     hosts, holds = collections.defaultdict(set), collections.defaultdict(set)
@@ -438,17 +441,40 @@ def test_top_k_equals_brute_force(spark):
     vectors += [(1000 + i, vectors[3][1]) for i in range(200)]  # copies
     vectors += [vectors[5], (2000, None), (None, vectors[0][1]), (2001, [1.0, float("nan")] + [0.0] * 6), (2002, [None] + [0.0] * 7), (2003, [float("inf")] * 8), (2004, [1.0])]
     table = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>").withColumn("id", F.lit("clash"))
-    x = {i: np.floor(64 * np.array(v)).astype(int) for i, v in vectors if i is not None and i < 2000}
+    taking_part = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in vectors if v is not None and all(c is not None and np.isfinite(c) for c in v)]
     got = knn.top_k(knn.integer_vectors(table), F.col("id") % 20 == 0, k=20, pivots=32, groups=4, block=150, query_block=10).collect()
-    expected = set()
-    for q in (i for i in x if i % 20 == 0):
-        best = sorted(((-int(x[q] @ x[c]), c) for c in x if c != q))[:20]
-        expected |= {(q, n + 1, c, -s) for n, (s, c) in enumerate(best)}
-    assert {tuple(r) for r in got} == expected and len(got) == len(expected)
+    expected = []
+    for at, (key, q) in enumerate(taking_part):
+        if key is not None and key % 20 == 0:
+            others = [(-int(q @ x), i is None, i or 0, i) for place, (i, x) in enumerate(taking_part) if place != at and len(x) == len(q)]
+            expected += [(key, n, i, -s) for n, (s, _, _, i) in enumerate(sorted(others)[:20], 1)]
+    assert multiset(got) == multiset(expected)
     few = knn.top_k(knn.integer_vectors(table.filter("vec_id < 3")), F.col("id") == 0).collect()
     assert len(few) == 2
 
 
+def test_top_k_keeps_repeated_ids_and_other_lengths(spark):
+    rows = [(0, [1.0, 1.0]), (1, [1.0, 2.0]), (1, [5.0, 5.0]), (2, [1.0, 1.0, 9.0]), (3, [2.0, 1.0]), (20, []), (40, []), (60, [1.0, 1.0, 1.0])]
+    got = knn.top_k(knn.integer_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")), F.col("id") % 20 == 0).collect()
+    assert {tuple(r) for r in got} == {(0, 1, 1, 40960), (0, 2, 1, 12288), (0, 3, 3, 12288), (20, 1, 40, 0), (40, 1, 20, 0), (60, 1, 2, 45056)}
+
+
+def test_top_k_sends_few_of_clustered_vectors(spark):
+    """Clusters in different directions: a group gets little besides its own cluster."""
+    rng = np.random.default_rng(8)
+    centres = 3 * rng.normal(size=(40, 24))
+    rows = [(i, (centres[i % 40] + 0.05 * rng.normal(size=24)).tolist()) for i in range(4000)]
+    sent = []
+    vectors = knn.integer_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    got = knn.top_k(vectors, F.col("id") % 20 == 0, sent=sent).collect()
+    x = np.floor(64 * np.array([v for _, v in rows])).astype(int)
+    scores = x @ x.T
+    for q in (0, 20, 3980):
+        best = sorted((-int(scores[q, c]), c) for c in range(4000) if c != q)[:20]
+        assert [(r.vec_id, r.score) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == [(c, -s) for s, c in best]
+    assert sent[0] < 0.5 * 16 * 4000
+
+
 # --- empty tables
 
 

@@ -44,16 +44,14 @@ FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 """
 
 VORONOI_KNN = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x : CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS x FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(x))) = 0),
-pairs AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
-ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs)
+WITH v AS (SELECT row_number() OVER () AS place, vec_id, list_transform(embedding, lambda x : CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT q.place, q.vec_id AS query_id, c.vec_id, c.place AS other, CAST(CASE WHEN len(q.x) = 0 THEN 0 ELSE list_inner_product(q.x, c.x) END AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.place <> c.place AND len(q.x) = len(c.x)),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id ASC NULLS LAST, other) AS INTEGER) AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-
-
 COLLOCATIONS = r"""
 WITH pieces AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w : w <> '') AS w
   FROM (SELECT coalesce(lang, 'und') AS lang,
