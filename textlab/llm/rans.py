@@ -215,8 +215,8 @@ def write_ids(
     text: str = "text",
     end_id: int = 0,
     bits: int = 20,
-    block_tokens: int = 1 << 17,
-    lanes: int = 1024,
+    block_tokens: int = 1 << 18,
+    lanes: int = 2048,
     checkpoint_steps: int = 64,
 ) -> None:
     """Encode all documents into the file set `folder`, in ascending order of the key.
@@ -231,7 +231,7 @@ def write_ids(
     ordered = rows.repartitionByRange("key").sortWithinPartitions("key")
     aside = new_folder(spark, "ids")
     size = max(vocabulary.size, end_id + 1)
-    ordered.mapInArrow(_tokenised(vocabulary, end_id, size), f"part int, place bigint, key {kind}, low binary, high binary").write.option("compression", "zstd").parquet(aside)
+    ordered.mapInArrow(_tokenised(vocabulary, end_id, size), f"part int, place bigint, key {kind}, low binary, high binary").write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "1").parquet(aside)
     staged = spark.read.parquet(aside)
     counted = staged.filter("place < 0").select("low", "high").mapInArrow(_counts, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(size, np.int64)  # as many as the vocabulary has

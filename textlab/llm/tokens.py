@@ -44,6 +44,7 @@ _LETTERS = byte_letters()
 # Letters, then signs that are neither letter, number, white space nor apostrophe, then perhaps the same
 # after one line feed: a byte-level vocabulary always splits after the letters, whatever follows.
 _LETTER, _SIGN = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]", r"[!-&(-/:-@\[-`{-~]"
+_MARKS = frozenset(".,;:!?")
 _SIMPLE = re.compile(f"({_LETTER}+)?{_SIGN}*(?:\n{_LETTER}*{_SIGN}*)?")
 
 
@@ -80,6 +81,8 @@ class _Memo(dict):
         self.letter_lead = "".join(_LETTERS[b] for b in lead.encode())
 
     def __missing__(self, piece: str) -> bytes:
+        if self.simple and piece[-1:] in _MARKS and piece[:-1].isalpha() and piece.isascii():
+            return self[piece[:-1]] + self.rest[piece[-1]]  # not kept: the memo is for words
         parts = _SIMPLE.fullmatch(piece) if self.simple else None
         if parts is None:
             ids = b"".join([self.encode_word(word) for word, _ in self.split(self.lead + piece)])
