@@ -2,12 +2,14 @@
 
 import math
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LinearSVC
 from pyspark.sql import functions as F
 
-from textlab.operators import features as FE, learners as L, runlog as R, scoring
+from textlab.operators import certificates as CE, features as FE, learners as L, linear_solver as S, runlog as R, scoring
 from textlab.operators.evaluation import macro_f1_per_fold
 from textlab.plans import configurations as C, experiment as E
 from textlab.session import new_folder
@@ -87,7 +89,7 @@ def test_logistic_regression_reaches_the_optimum(spark, docs):
     training = L.TermTraining(docs.withColumn("clean", F.col("text")), {"type": "bow", "ngram_range": [1, 1]}, [])
     rows = training.features(None).collect()
     tight = {"type": "logistic_regression", "parameters": {"tol": 1e-9, "max_iter": 500}}
-    found = L.fit_classifier(training.features(None).select("label", "features"), len(rows), tight)
+    found = L.fit_classifier(training.features(None).select("label", "features"), tight)
     x = np.array([r["features"].toArray() for r in rows])
     y = np.array([r["label"] for r in rows])
     p = 1 / (1 + np.exp(-(x @ np.array(found.weights) + found.intercept)))
@@ -96,6 +98,77 @@ def test_logistic_regression_reaches_the_optimum(spark, docs):
     assert abs((p - y).sum()) < 1e-3
 
 
+@pytest.fixture(scope="module")
+def training(docs):
+    return L.TermTraining(docs.withColumn("clean", F.col("text")), {"type": "bow", "ngram_range": [1, 1]}, [0, 1, 2])
+
+
+@pytest.fixture(scope="module")
+def unit_training(docs):
+    return L.TermTraining(docs.withColumn("clean", F.col("text")), {"type": "tfidf", "ngram_range": [1, 1]}, [0, 1, 2])
+
+
+def in_shards(training, count):
+    """The same data in several shards, so that every pass is a job over all of them."""
+    before, S.SHARD_BYTES = S.SHARD_BYTES, -(-training.counts.count() * 12 // count)
+    try:
+        columns = [f"v_{k}" for k in training.folds] if training.unit else ["v"]
+        return S.shards_of(training.docs.sparkSession.read.parquet(training.path), columns, training.size, training.folds, training.counts.count())
+    finally:
+        S.SHARD_BYTES = before
+
+
+def dense(training, split):
+    rows = [r for r in training.features(split).collect()]
+    return np.array([r["features"].toArray() for r in rows]), np.array([2 * r["label"] - 1 for r in rows])
+
+
+@pytest.mark.parametrize("kind", ["logistic_regression", "linear_svm"])
+def test_all_folds_at_once_equal_single_fits(training, unit_training, kind):
+    tight = {"type": kind, "parameters": {"tol": 1e-9, "max_iter": 200}}
+    for data in (training, unit_training):
+        whole, spread = L.fit_folds(data.shards, tight), L.fit_folds(in_shards(data, 3), tight)
+        assert data.shards.count == 1 and whole.weights == pytest.approx(spread.weights, abs=1e-6)
+        for i, fold in enumerate(data.folds):
+            assert L.fit_folds(data.shards.only(fold), tight).weights[0] == pytest.approx(whole.weights[i], abs=1e-6)
+            x, y = dense(data, fold)
+            w, b = whole.weights[i, :-1], whole.weights[i, -1]
+            z = y * (x @ w + b)
+            slope = y * (-1 / (1 + np.exp(z)) if kind == "logistic_regression" else -2 * np.maximum(0, 1 - z))
+            assert np.abs(x.T @ slope + w).max() < 1e-5
+            assert abs(slope.sum() + (b if kind == "linear_svm" else 0)) < 1e-5
+
+
+def test_stochastic_descent_is_near_the_optimum_wherever_the_rows_are(spark, training, unit_training):
+    for data in (training, unit_training):
+        found = L.fit_folds(data.shards, {"type": "sgd", "parameters": {"tol": 1e-5, "alpha": 0.05}})
+        x, y = dense(data, 0)
+        of = lambda w, b: np.maximum(0, 1 - y * (x @ w + b)).mean() + 0.025 * (w**2).sum()  # noqa: B023, E731
+        exact = LinearSVC(regParam=0.05, standardization=False, maxIter=100, tol=1e-8).fit(data.features(0).select("label", "features").coalesce(1).cache())
+        best = of(exact.coefficients.toArray(), exact.intercept)
+        assert found.objective[0] == pytest.approx(of(found.weights[0, :-1], found.weights[0, -1])) and found.objective[0] < 1.01 * best
+    several = in_shards(training, 3)
+    moved = replace(several, table=several.table.repartition(2), tasks=1)
+    short = {"type": "sgd", "parameters": {"max_iter": 4}}
+    assert several.count == 3 and L.fit_folds(several, short).weights == pytest.approx(L.fit_folds(moved, short).weights, rel=1e-12)
+
+
+def test_certificates(training, unit_training):
+    for data in (training, unit_training):
+        for kind in ("logistic_regression", "linear_svm", "sgd"):
+            assert [r.optimal for r in CE.certified(data, {"type": kind}).collect()] == [True] * 3
+        found = L.fit_folds(data.shards, {"type": "linear_svm"})
+        moved = found.weights + 0.01
+        for weights, optimal in ((found.weights, True), (moved, False)):
+            for i, r in enumerate(CE.optimality(data, weights, "squared_hinge", 1.0, True, False, 2e-4).collect()):
+                x, y = dense(data, r.fold)
+                w, b = weights[i, :-1], weights[i, -1]
+                gap = np.maximum(0, 1 - y * (x @ w + b))
+                gradient = np.append(x.T @ (-2 * y * gap) + w, (-2 * y * gap).sum() + b)
+                assert r.optimal == optimal and r.norm == pytest.approx(np.linalg.norm(gradient), abs=1e-8)
+                assert r.objective == pytest.approx((gap**2).sum() + (w @ w + b * b) / 2) and (r.train_rows, r.features) == (len(y), (x != 0).any(axis=0).sum())
+
+
 @pytest.mark.parametrize("classifier", ["C_LOGREG", "C_LINEAR_SVM", "C_SGD"])
 def test_cross_validation_beats_the_majority(spark, docs, classifier):
     predictions = L.cross_validate(docs, configuration("R_TFIDF_UNI", classifier))
@@ -136,7 +209,7 @@ def test_model_scores_as_the_vectors_do(spark, docs, model):
     """Margins from the term table equal those from sparse vectors."""
     prepared = L.prepare_text(docs.withColumn("fold", F.lit(0)), model.configuration, L.Resources(), "index")
     training = L.TermTraining(prepared, {"type": "tfidf", "ngram_range": [1, 1]}, [])
-    found = L.fit_classifier(training.features(None).select("label", "features"), 91, {"type": "logistic_regression"})
+    found = L.fit_classifier(training.features(None).select("label", "features"), {"type": "logistic_regression"})
     want = {r["index"]: float(r["features"].dot(np.array(found.weights)) + found.intercept) for r in training.features(None).collect()}
     got = {r["index"]: r["margin"] for r in model.predict(docs).collect()}
     assert got == pytest.approx(want, abs=1e-6)

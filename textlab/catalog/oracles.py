@@ -327,6 +327,43 @@ def fixed(asked: str, key: str) -> list[str]:
     ]
 
 
+# The slope of each loss at a margin of zero, times the sign of the label.
+FIRST_SLOPE = {"logistic": "(0.5 - label)", "squared_hinge": "(2 - 4 * label)", "hinge": "(1 - 2 * label)"}
+FOLD_TERMS = "fold_terms AS (SELECT c.index, f.fold, f.label, c.term, c.n FROM counts c JOIN folds f ON c.index = f.index)"
+PLAIN_VALUES = "weighed AS (SELECT k.split, c.index, c.label, c.term AS feature, CAST(c.n AS DOUBLE) AS v FROM fold_terms c JOIN range(3) k(split) ON c.fold <> k.split)"
+UNIT_VALUES = """outer_terms AS (SELECT k.split, c.index, c.label, c.term, c.n FROM fold_terms c JOIN range(3) k(split) ON c.fold <> k.split),
+outer_df AS (SELECT split, term, CAST(count(*) AS DOUBLE) AS df FROM outer_terms GROUP BY ALL),
+outer_texts AS (SELECT k.split, CAST(count(*) AS DOUBLE) AS texts FROM folds f JOIN range(3) k(split) ON f.fold <> k.split GROUP BY ALL),
+weighed AS (SELECT split, index, label, term AS feature, w / sqrt(sum(w * w) OVER (PARTITION BY split, index)) AS v FROM (
+  SELECT o.split, o.index, o.label, o.term, n * (ln((1 + texts) / (1 + df)) + 1) AS w FROM outer_terms o JOIN outer_df USING (split, term) JOIN outer_texts USING (split)))"""
+
+
+def fit_proof(loss: str, *parts: str) -> str:
+    """Rows, features and the gradient at zero weights of each fold, from `weighed`; a fit has to be optimal."""
+    slope = FIRST_SLOPE[loss]
+    return over(
+        "tweets",
+        f"""SELECT CAST(t.split AS INTEGER) AS fold, train_rows, (SELECT count(*) FROM folds) - train_rows AS validation_rows, features,
+  round(sqrt(hh + s * s), 3) AS start_norm, true AS optimal
+FROM (SELECT k.split, count(*) AS train_rows, sum({slope}) AS s FROM folds f JOIN range(3) k(split) ON f.fold <> k.split GROUP BY k.split) t
+JOIN (SELECT split, count(*) AS features, sum(h * h) AS hh FROM (SELECT split, feature, sum(v * {slope}) AS h FROM weighed GROUP BY ALL) GROUP BY split) g ON t.split = g.split""",
+        TRAIN, FOLDS, *parts,
+    )
+
+
+def model_proof(columns: str, weighed: str) -> str:
+    """The same for one fit on all of train."""
+    return over(
+        "tweets",
+        f"""SELECT {columns}, features, round(sqrt(hh + s * s), 3) AS start_norm, true AS optimal
+FROM (SELECT count(*) AS training_size, sum(0.5 - label) AS s FROM train) t,
+  (SELECT count(*) AS features, sum(h * h) AS hh FROM (SELECT feature, sum(v * (0.5 - label)) AS h FROM weighed GROUP BY feature)) g""",
+        TRAIN, CLEAN, COUNTS,
+        "own AS (SELECT c.index, t.label, c.term, c.n FROM counts c JOIN train t ON c.index = t.index)",
+        weighed,
+    )
+
+
 def all_oracles() -> dict[str, str]:
     problem = (
         f"CASE WHEN text IS NULL THEN 'null_text' WHEN NOT regexp_matches(text, '{NOT_SPACE}') THEN 'blank_text' "
@@ -445,10 +482,7 @@ def all_oracles() -> dict[str, str]:
         "frequencies AS (SELECT k.split, c.term, CAST(count(*) AS DOUBLE) AS df FROM fold_counts c JOIN range(3) k(split) ON c.fold <> k.split GROUP BY ALL)",
         "totals AS (SELECT k.split, CAST(count(*) AS DOUBLE) AS texts FROM folds f JOIN range(3) k(split) ON f.fold <> k.split GROUP BY ALL)",
     )
-    found["mean_token_vectors"] = over(
-        "tweets",
-        """SELECT w.index, CAST(d.pos AS INTEGER) AS pos, round(coalesce(m.value, 0.0), 6) AS value
-FROM words w CROSS JOIN range(64) d(pos) LEFT JOIN means m ON w.index = m.index AND d.pos = m.pos""",
+    mean_vectors = [
         CLEAN, COUNTS,
         f"words AS (SELECT index, {words('clean')} AS t FROM clean)",
         "placed AS (SELECT embedding, row_number() OVER (ORDER BY vec_id) - 1 AS place FROM embeddings)",
@@ -457,7 +491,38 @@ FROM words w CROSS JOIN range(64) d(pos) LEFT JOIN means m ON w.index = m.index
         """means AS (SELECT index, pos, avg(CAST(x AS DOUBLE)) AS value FROM (
   SELECT o.index, unnest(v.vec) AS x, generate_subscripts(v.vec, 1) - 1 AS pos
   FROM (SELECT index, unnest(t) AS token FROM words) o JOIN vectors v ON o.token = v.token) GROUP BY index, pos)""",
+    ]
+    found["mean_token_vectors"] = over(
+        "tweets",
+        """SELECT w.index, CAST(d.pos AS INTEGER) AS pos, round(coalesce(m.value, 0.0), 6) AS value
+FROM words w CROSS JOIN range(64) d(pos) LEFT JOIN means m ON w.index = m.index AND d.pos = m.pos""",
+        *mean_vectors,
+    )
+
+    # fits
+    found["cv_logreg"] = fit_proof("logistic", CLEAN, COUNTS, FOLD_TERMS, PLAIN_VALUES)
+    found["cv_linear_svm"] = fit_proof("squared_hinge", CLEAN, COUNTS, FOLD_TERMS, PLAIN_VALUES)
+    found["cv_sgd"] = fit_proof("hinge", CLEAN, COUNTS, FOLD_TERMS, PLAIN_VALUES)
+    found["run_configuration"] = fit_proof(
+        "logistic", CLEAN, COUNTS.replace("counts AS", "plain_counts AS"), LEMMAS.replace("FROM counts", "FROM plain_counts"), prepared,
+        f"shorter AS ({squeezed('prepared', 'text', 'index')})",
+        f"words AS (SELECT index, {without_stopwords(words(emoji('squeezed')), NEGATORS)} AS t FROM shorter)",
+        f"done AS ({lemmatized('words')})",
+        f"counts AS (SELECT index, term, count(*) AS n FROM (SELECT index, unnest({terms(spaces('tokens'))}) AS term FROM done) GROUP BY ALL)",
+        FOLD_TERMS, UNIT_VALUES,
+    )
+    found["run_configuration_vectors"] = fit_proof(
+        "logistic", *mean_vectors,
+        """weighed AS (SELECT k.split, f.index, f.label, d.pos AS feature, coalesce(m.value, 0.0) AS v
+  FROM folds f JOIN range(3) k(split) ON f.fold <> k.split CROSS JOIN range(64) d(pos) LEFT JOIN means m ON f.index = m.index AND d.pos = m.pos)""",
+    )
+    found["predict_fitted"] = model_proof(
+        "training_size, (SELECT count(*) FROM tweets WHERE split = 'test') AS labelled",
+        """own_df AS (SELECT term, CAST(count(*) AS DOUBLE) AS df FROM own GROUP BY term),
+weighed AS (SELECT label, term AS feature, w / sqrt(sum(w * w) OVER (PARTITION BY index)) AS v FROM (
+  SELECT index, label, term, n * (ln((1 + CAST((SELECT count(*) FROM train) AS DOUBLE)) / (1 + df)) + 1) AS w FROM own JOIN own_df USING (term)))""",
     )
+    found["final_model"] = model_proof("'run-final' AS run_id, training_size", "weighed AS (SELECT label, term AS feature, CAST(n AS DOUBLE) AS v FROM own)")
 
     # scores
     found["majority_per_fold"] = over("tweets", "SELECT * FROM majority", TRAIN, FOLDS, MAJORITY)

@@ -14,7 +14,7 @@ from textlab.catalog import views as V
 from textlab.functions import signals as G, text as X, tokens as K
 from textlab.functions.words import NEGATORS
 from textlab.operators import (
-    cleaning, errors, evaluation, features, learners, ranking, runlog, scoring, splits,
+    certificates, cleaning, errors, evaluation, features, learners, ranking, runlog, scoring, splits,
 )
 from textlab.plans import configurations as C, experiment as E
 from textlab.session import new_folder, stage
@@ -350,35 +350,72 @@ def majority_per_fold(spark, folder):
     return evaluation.majority_class(folds(spark, folder))
 
 
-def cv_scores(spark, folder, tag, preprocessing=None, representation=None, resources=learners.Resources()):
-    configuration = C.named_configuration(tag, V.VERSION, preprocessing, representation)
-    rows = stage(folded_texts(spark, folder), "folded")
+def cv_data(spark, folder, tag, preprocessing=None, representation=None):
+    return folded_texts(spark, folder), C.named_configuration(tag, V.VERSION, preprocessing, representation)
+
+
+def cv_scores(spark, folder, tag, preprocessing=None, resources=learners.Resources()):
+    rows, configuration = cv_data(spark, folder, tag, preprocessing)
     return E.run_configuration(rows, configuration, resources).select("fold", round6("macro_f1"))
 
 
+def cv_certificate(spark, folder, tag, preprocessing=None, resources=learners.Resources()):
+    """The fits of all folds, each proven: gradient at the weights against the gradient at zero."""
+    rows, configuration = cv_data(spark, folder, tag, preprocessing)
+    found = certificates.certified(learners.training_data(rows, configuration, resources), configuration["classifier"])
+    return found.select("fold", "train_rows", "validation_rows", "features", F.round("start_norm", 3).alias("start_norm"), "optimal")
+
+
 @query
 def cv_logreg(spark, folder):
+    return cv_certificate(spark, folder, "C_LOGREG")
+
+
+@query
+def cv_logreg_scores(spark, folder):
     return cv_scores(spark, folder, "C_LOGREG")
 
 
 @query
 def cv_linear_svm(spark, folder):
+    return cv_certificate(spark, folder, "C_LINEAR_SVM")
+
+
+@query
+def cv_linear_svm_scores(spark, folder):
     return cv_scores(spark, folder, "C_LINEAR_SVM")
 
 
 @query
 def cv_sgd(spark, folder):
+    return cv_certificate(spark, folder, "C_SGD")
+
+
+@query
+def cv_sgd_scores(spark, folder):
     return cv_scores(spark, folder, "C_SGD")
 
 
 @query
 def run_configuration(spark, folder):
     resources = learners.Resources(lemma_table=lemma_table(spark, folder))
-    return cv_scores(spark, folder, "R_TFIDF_UNI", FULL_PREPROCESSING, resources=resources)
+    return cv_certificate(spark, folder, "R_TFIDF_UNI", FULL_PREPROCESSING, resources)
+
+
+@query
+def run_configuration_scores(spark, folder):
+    resources = learners.Resources(lemma_table=lemma_table(spark, folder))
+    return cv_scores(spark, folder, "R_TFIDF_UNI", FULL_PREPROCESSING, resources)
 
 
 @query
 def run_configuration_vectors(spark, folder):
+    resources = learners.Resources(token_vectors=token_vectors(spark, folder), vector_dim=VECTOR_DIM)
+    return cv_certificate(spark, folder, "R_SPACY", resources=resources)
+
+
+@query
+def run_configuration_vectors_scores(spark, folder):
     resources = learners.Resources(token_vectors=token_vectors(spark, folder), vector_dim=VECTOR_DIM)
     return cv_scores(spark, folder, "R_SPACY", resources=resources)
 
@@ -397,20 +434,46 @@ def predict_labels(spark, folder):
     return fixed_model(spark, folder).predict(tweets(spark, folder, "test").select("index", "text")).select("index", "predicted_label")
 
 
+def fitted_model(spark, folder) -> learners.TextModel:
+    return learners.train_model(tweets(spark, folder, "train"), C.named_configuration("R_TFIDF_UNI", V.VERSION))
+
+
+def model_certificate(spark, folder, model: learners.TextModel) -> DataFrame:
+    found = certificates.certified_model(model, tweets(spark, folder, "train").select("index", "label", "text"))
+    return found.select(F.col("train_rows").alias("training_size"), "features", F.round("start_norm", 3).alias("start_norm"), "optimal")
+
+
 @query
 def predict_fitted(spark, folder):
-    """Labels by a model that is fitted first."""
-    model = learners.train_model(tweets(spark, folder, "train"), C.named_configuration("R_TFIDF_UNI", V.VERSION))
-    return model.predict(tweets(spark, folder, "test").select("index", "text")).select("index", "predicted_label")
+    """A model that is fitted first, its proof, and how many texts it labels."""
+    model = fitted_model(spark, folder)
+    labelled = model.predict(tweets(spark, folder, "test").select("index", "text")).agg(F.count("predicted_label").alias("labelled")).first()
+    return model_certificate(spark, folder, model).withColumn("labelled", F.lit(labelled["labelled"]).cast("bigint"))
 
 
 @query
-def final_model(spark, folder):
+def predict_fitted_labels(spark, folder):
+    return fitted_model(spark, folder).predict(tweets(spark, folder, "test").select("index", "text")).select("index", "predicted_label")
+
+
+def final_experiment(spark, folder) -> E.FinalModel:
     tags = {"lab_member_id": "M0", "lab_configuration_id": "CFG_0", "notebook_arn": "arn:nb:M0"}
-    found = E.train_final(
+    return E.train_final(
         tweets(spark, folder, "train"), tweets(spark, folder, "test"), C.baseline_configuration(V.VERSION), "run-final", tags
     )
-    return found.run.select(
+
+
+@query
+def final_model(spark, folder):
+    """The final run with the proof of its model."""
+    found = final_experiment(spark, folder)
+    run = found.run.select("run_id", runlog.param("training_size").cast("bigint").alias("training_size"))
+    return run.join(model_certificate(spark, folder, found.model), "training_size")
+
+
+@query
+def final_model_score(spark, folder):
+    return final_experiment(spark, folder).run.select(
         "run_id", runlog.param("training_size").cast("bigint").alias("training_size"),
         F.round(runlog.metric("test_macro_f1"), 6).alias("test_macro_f1"),
     )

@@ -8,12 +8,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import cached_property
 
+import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -21,14 +20,11 @@ from textlab.functions.signals import model_label
 from textlab.functions.tokens import tokenize_words
 from textlab.operators.cleaning import clean_text
 from textlab.operators.features import fit_terms, mean_token_vectors, placed_by, smooth_idf, term_counts
+from textlab.operators.linear_solver import Found, Shards, descend, margins, minimise, shards_of, solve
 from textlab.operators.lookup import lookup_join
 from textlab.operators.ranking import global_rank
 from textlab.session import new_folder, stage
 
-# Every task of a step returns a gradient as long as the weights, so a task should have work worth that.
-TASK_BYTES = 64 << 20
-_ENTRY_BYTES = 12
-
 LEARNERS = ("logistic_regression", "linear_svm", "sgd")
 _COMMON = {"C", "max_iter", "tol", "fit_intercept"}
 _ACCEPTED = {
@@ -67,33 +63,37 @@ def check_classifier(classifier: Mapping) -> dict:
     return given
 
 
-def fit_classifier(train: DataFrame, rows: int, classifier: Mapping) -> LinearWeights:
-    """Fit on `(label double, features vector)`.
+def objective_of(classifier: Mapping) -> tuple[str, float, bool, bool]:
+    """(loss, penalty, intercept penalised, mean loss) of a classifier, with the parameters' defaults.
 
-    Logistic regression has the objective of a penalty strength C over the sum of the losses, which
-    in terms of the mean loss is 1 / (C rows). The linear SVM uses the hinge, not the squared hinge,
-    and does not penalise the intercept. The objective of SGD, mean hinge and alpha / 2 |w|^2, is solved by the same learner.
+    Logistic regression: sum of the losses and |w|^2 / 2C, the intercept free. Linear SVM: sum of the squared hinges and |w|^2 / 2C, the
+    intercept penalised as any weight. SGD: mean hinge and alpha / 2 |w|^2, the intercept free.
     """
+    given, kind = check_classifier(classifier), classifier["type"]
+    if kind == "sgd":
+        return "hinge", float(given.get("alpha", 1e-4)), False, True
+    return ("squared_hinge" if kind == "linear_svm" else "logistic"), 1.0 / float(given.get("C", 1.0)), kind == "linear_svm", False
+
+
+def fit_folds(shards: Shards, classifier: Mapping) -> Found:
+    """Weights for all folds of `shards`: one run of the optimiser, or of seeded descent for SGD."""
+    loss, penalty, penalised, mean = objective_of(classifier)
     given = check_classifier(classifier)
-    kind = classifier["type"]
     intercept = str(given.get("fit_intercept", True)).lower() == "true"
-    if kind == "sgd":
-        learner, penalty, tolerance = LinearSVC, float(given.get("alpha", 1e-4)), 1e-3
-    else:
-        learner = {"logistic_regression": LogisticRegression, "linear_svm": LinearSVC}[kind]
-        penalty, tolerance = 1.0 / (float(given.get("C", 1.0)) * rows), 1e-4
-    model = learner(
-        regParam=penalty,
-        standardization=False,
-        maxIter=int(given.get("max_iter", 100)),
-        tol=float(given.get("tol", tolerance)),
-        fitIntercept=intercept,
-    ).fit(train)
-    return LinearWeights(model.coefficients.toArray(), float(model.intercept))
+    tolerance, most = float(given.get("tol", 1e-3 if mean else 1e-4)), int(given.get("max_iter", 100 if loss == "logistic" else 1000))
+    if mean:
+        count = shards.count
+        return solve(shards, loss, lambda data: descend(data, count, penalty, intercept, tolerance, most))
+    return solve(shards, loss, lambda data: minimise(data, penalty, intercept, penalised, tolerance, most))
 
 
-def training_tasks(size: int) -> int:
-    return max(1, -(-size // TASK_BYTES))
+def fit_classifier(train: DataFrame, classifier: Mapping) -> LinearWeights:
+    """Fit on `(label double, features vector)`."""
+    rows = train.select(F.monotonically_increasing_id().alias("index"), F.lit(None).cast("int").alias("fold"), "label", F.unwrap_udt("features").alias("v"))
+    rows = stage(rows, "vectors")
+    sizes = rows.agg(F.max(F.coalesce("v.size", F.size("v.values"))).alias("size"), F.sum(F.size("v.values")).alias("entries")).first()
+    found = fit_folds(shards_of(rows, ["v"], sizes["size"], [None], sizes["entries"]), classifier)
+    return LinearWeights(found.weights[0, :-1], float(found.weights[0, -1]))
 
 
 @dataclass(frozen=True)
@@ -224,8 +224,8 @@ def _read_vectors(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
 class TermTraining:
     """Term features of labelled texts `(index, fold, label, clean)`, for one fit or for every fold.
 
-    Texts are counted once. Document frequencies outside of each fold come from one aggregation,
-    and one table holds the vectors of every split, so folds cost fits, not passes over the text.
+    Texts are counted once. Document frequencies outside of each fold come from one aggregation, one table
+    holds the vectors of every split, and one run of the optimiser fits all of them.
 
     Each term has its own slot, however many there are. Only `hash_slots` among the parameters of the representation
     makes terms share that many slots by hash; it is part of the configuration and so of the logged run.
@@ -248,7 +248,6 @@ class TermTraining:
             self.terms = ranked.withColumn("slot", F.col("slot").cast("int"))
         else:
             self.terms = fitted.table.withColumn("slot", F.pmod(F.xxhash64("term"), F.lit(self.size)).cast("int"))
-        self.tasks = training_tasks(self.counts.count() * _ENTRY_BYTES)
         self.path = new_folder(docs.sparkSession, "features")
         self._write_features()
 
@@ -294,16 +293,25 @@ class TermTraining:
         """Training rows of a split with their vectors."""
         column = f"v_{split}" if self.unit else "v"
         rows = _read_vectors(self.docs.sparkSession, self.path, [column]).withColumnRenamed(column, "features")
-        return (rows if split is None else rows.filter(F.col("fold") != split)).coalesce(self.tasks)
+        return rows if split is None else rows.filter(F.col("fold") != split)
+
+    @cached_property
+    def shards(self) -> Shards:
+        columns = [f"v_{s}" for s in self._splits()] if self.unit else ["v"]
+        return shards_of(self.docs.sparkSession.read.parquet(self.path), columns, self.size, self._splits(), self.counts.count())
 
     def fit(self, classifier: Mapping, split: int | None = None) -> tuple[DataFrame, float]:
         """`(term, df, idf, weight)` of the terms known in a split, staged, and the intercept."""
-        found = fit_classifier(self.features(split).select("label", "features"), self.texts[split], classifier)
+        found = fit_folds(self.shards.only(split), classifier).weights[0]
+        return self.model_terms(found, split), float(found[-1])
+
+    def model_terms(self, found: np.ndarray, split: int | None) -> DataFrame:
+        """`(term, df, idf, weight)` from the weights by slot."""
         spark = self.docs.sparkSession
-        weights = spark.createDataFrame(pd.DataFrame({"slot": range(len(found.weights)), "weight": found.weights}), "slot int, weight double")
+        weights = spark.createDataFrame(pd.DataFrame({"slot": range(self.size), "weight": found[:-1]}), "slot int, weight double")
         known = self.terms.withColumn("idf", self._idf(split)).filter("idf IS NOT NULL").select("term", "df", "slot", "idf")
         placed = lookup_join(known, weights, "slot", ["term"], row_bytes=16, rows=self.size)
-        return stage(placed.select("term", "df", "idf", "weight"), "model"), found.intercept
+        return stage(placed.select("term", "df", "idf", "weight"), "model")
 
     def score(self, terms: DataFrame, intercept: float, split: int) -> DataFrame:
         """Predictions for the texts that validate in a split."""
@@ -323,16 +331,16 @@ class VectorTraining:
         self.rows = stage(labelled.join(vectors, "index"), "vectors")
         self.texts = {row["fold"]: row["n"] for row in self.rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
 
-    def fit(self, classifier: Mapping, split: int | None = None) -> LinearWeights:
-        rows = self.rows if split is None else self.rows.filter(F.col("fold") != split)
-        number = sum(n for fold, n in self.texts.items() if split is None or fold != split)
-        train = rows.select("label", array_to_vector("vec").alias("features"))
-        return fit_classifier(train.coalesce(training_tasks(number * self.dim * 8)), number, classifier)
+    @cached_property
+    def shards(self) -> Shards:
+        folds = sorted(fold for fold in self.texts if fold is not None) or [None]
+        vector = F.struct(F.lit(1).cast("tinyint").alias("type"), F.lit(self.dim).alias("size"), F.lit(None).cast("array<int>").alias("indices"), F.col("vec").alias("values"))
+        rows = self.rows.select("index", "fold", "label", vector.alias("v"))
+        return shards_of(rows, ["v"], self.dim, folds, sum(self.texts.values()) * self.dim)
 
-    def score(self, found: LinearWeights, split: int) -> DataFrame:
-        inside = self.rows.filter(F.col("fold") == split)
-        margins = _dense_margins(inside, found.weights, "index")
-        return _decide(inside.drop("vec").join(margins, "index"), F.col("_margin") + found.intercept)
+    def fit(self, classifier: Mapping) -> LinearWeights:
+        found = fit_folds(self.shards, classifier).weights[0]
+        return LinearWeights(found[:-1], float(found[-1]))
 
 
 def _decide(rows: DataFrame, margin: Column) -> DataFrame:
@@ -345,29 +353,21 @@ def _decide(rows: DataFrame, margin: Column) -> DataFrame:
 def cross_validate(docs: DataFrame, configuration: Mapping, resources: Resources = Resources()) -> DataFrame:
     """Predictions `(index, fold, label, prediction)` for labelled texts `(index, fold, label, text)`.
 
-    Each row is predicted by the model fitted outside of its fold. Texts are cleaned once, and the
-    folds are fitted side by side.
+    Each row is predicted by the model fitted outside of its fold. Texts are cleaned once; a pass over the features serves all folds.
     """
+    shards = training_data(docs, configuration, resources).shards
+    found = fit_folds(shards, configuration["classifier"])
+    return _decide(margins(shards, found.weights), F.col("margin"))
+
+
+def training_data(docs: DataFrame, configuration: Mapping, resources: Resources = Resources()) -> TermTraining | VectorTraining:
+    """The features of labelled texts `(index, fold, label, text)` for all folds."""
     check_classifier(configuration["classifier"])
-    folds = sorted(row["fold"] for row in docs.select("fold").distinct().collect())
     cleaned = prepare_text(docs, configuration, resources, "index")
     if configuration["representation"]["type"] == "spacy_embedding":
-        training = VectorTraining(cleaned, resources)
-
-        def predicted(k: int) -> DataFrame:
-            return training.score(training.fit(configuration["classifier"], k), k)
-    else:
-        training = TermTraining(cleaned, configuration["representation"], folds)
-
-        def predicted(k: int) -> DataFrame:
-            return training.score(*training.fit(configuration["classifier"], k), k)
-
-    with ThreadPoolExecutor(len(folds)) as pool:
-        parts = list(pool.map(predicted, folds))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionAll(part)
-    return whole
+        return VectorTraining(cleaned, resources)
+    folds = sorted(row["fold"] for row in docs.select("fold").distinct().collect())
+    return TermTraining(cleaned, configuration["representation"], folds)
 
 
 def train_model(train: DataFrame, configuration: Mapping, resources: Resources = Resources()) -> TextModel:
