@@ -329,9 +329,8 @@ def tfidf_uni_bi(spark, folder):
 
 @query
 def tfidf_per_fold(spark, folder):
-    rows = stage(folded_texts(spark, folder), "folded")
-    counts = stage(features.term_counts(baseline_clean(rows, "fold"), carry=["fold"]), "counts")
-    fitted = features.fit_terms(rows, counts, FOLDS)
+    counts = stage(features.term_counts(baseline_clean(folded_texts(spark, folder), "fold"), carry=["fold"]), "counts")
+    fitted = features.fit_terms(folds(spark, folder), counts, FOLDS)
     return features.tfidf_per_fold(counts, fitted, FOLDS, role="validation").select("split", "index", "term", round6("value"))
 
 

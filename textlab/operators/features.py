@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textlab.functions.tokens import ngrams, vector_tokens
@@ -170,7 +172,7 @@ def mean_token_vectors(
     if not fits_broadcast(vectors, row_bytes, rows):
         counts = stage(counts, "token-counts")  # counted for its hot tokens, then joined
     known = lookup_join(counts, vectors.select("token", "vec"), "token", [key], row_bytes=row_bytes, rows=rows)
-    totals = [F.sum(F.get("vec", F.lit(i)) * F.col("_n")).alias(f"_{i}") for i in range(dim)]
-    sums = known.groupBy(key).agg(F.sum("_n").alias("_tokens"), *totals)
-    mean = F.array(*[F.coalesce(F.col(f"_{i}") / F.col("_tokens"), F.lit(0.0)) for i in range(dim)])
-    return docs.select(key).join(sums, key, "left").select(key, mean.alias("vec"))
+    mean = Summarizer.mean(array_to_vector("vec"), F.col("_n"))  # one aggregate, however many dimensions
+    means = known.groupBy(key).agg(vector_to_array(mean).alias("vec"))
+    zeros = F.array_repeat(F.lit(0.0), dim)
+    return docs.select(key).join(means, key, "left").select(key, F.coalesce("vec", zeros).alias("vec"))
