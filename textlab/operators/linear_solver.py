@@ -110,13 +110,20 @@ class Block:
         self.index, self.fold, self.label = read("index", np.int64), read("fold", np.int32), read("label", np.float64)
         self.ends, self.slots = read("ends", np.int64), read("slots", np.int32)
         self.values = [np.frombuffer(v, np.float64) for v in row["values"]]
-        self.row = np.repeat(np.arange(self.n), np.diff(self.ends, prepend=0))
+        lengths = np.diff(self.ends, prepend=0)
+        self.row = np.repeat(np.arange(self.n), lengths)
+        self.filled = np.flatnonzero(lengths)
+        self.begins = (self.ends - lengths)[self.filled]
 
     def dot(self, vector: int, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.values[vector] * weights[self.slots], self.n)
+        out = np.zeros(self.n)
+        if len(self.filled):
+            out[self.filled] = np.add.reduceat(self.values[vector] * weights[self.slots], self.begins)
+        return out
 
-    def transposed(self, vector: int, by_row: np.ndarray, size: int, power: int = 1) -> np.ndarray:
-        return np.bincount(self.slots, self.values[vector] ** power * by_row[self.row], size)
+    def transposed(self, vector: int, by_row: np.ndarray, size: int, squared: bool = False) -> np.ndarray:
+        values = self.values[vector]
+        return np.bincount(self.slots, (values * values if squared else values) * by_row[self.row], size)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
@@ -156,7 +163,7 @@ def summed(blocks: Iterable[Block], problem: Problem, loss: str, weights: np.nda
                 slope = curve * inside * (block.dot(vector, along[i, :-1]) + along[i, -1])
             else:
                 slope, curve = sign * slope * inside, curve * inside
-                total[i, size + 1 : 2 * size + 1] += block.transposed(vector, curve, size, 2)
+                total[i, size + 1 : 2 * size + 1] += block.transposed(vector, curve, size, squared=True)
                 total[i, 2 * size + 1] += curve.sum()
             total[i, :size] += block.transposed(vector, slope, size)
             total[i, size] += slope.sum()
@@ -238,7 +245,22 @@ class InTask(Sums):
 
     def __init__(self, block: Block, problem: Problem, loss: str) -> None:
         super().__init__(problem, loss)
-        self.block = block
+        self.block, self.curve_at, self.curves = block, None, []
+
+    def hessian_times(self, weights: np.ndarray, along: np.ndarray) -> np.ndarray:
+        """The curvature of each row is kept as long as the weights are the same array."""
+        self.count += 1
+        block, problem = self.block, self.problem
+        each = list(enumerate(zip(problem.folds, problem.vectors)))
+        if self.curve_at is not weights:
+            sign, inside = 2 * block.label - 1, [np.ones(block.n) if fold is None else (block.fold != fold).astype(float) for fold in problem.folds]
+            self.curves = [LOSSES[self.loss](sign * (block.dot(v, weights[i, :-1]) + weights[i, -1]))[2] * inside[i] for i, (_, v) in each]
+            self.curve_at = weights
+        out = np.zeros((len(problem.folds), problem.size + 1))
+        for i, (_, vector) in each:
+            slope = self.curves[i] * (block.dot(vector, along[i, :-1]) + along[i, -1])
+            out[i, :-1], out[i, -1] = block.transposed(vector, slope, problem.size), slope.sum()
+        return out
 
     def sums(self, weights: np.ndarray, along: np.ndarray | None) -> np.ndarray:
         return summed([self.block], self.problem, self.loss, weights, along)
