@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from textlab.functions import signals as G, text as X, tokens as K
 from textlab.functions.words import NEGATORS
+from textlab.operators import cleaning
 from textlab.operators.cleaning import clean_text, lemmatize
 from textlab.plans.configurations import baseline_configuration
 
@@ -142,6 +143,20 @@ def test_lemmas_keep_order_and_empty_rows(spark):
     assert got == {1: ["cat", "see", "cat"], 2: [], 3: []}
 
 
+def test_lemmas_take_no_row_per_token_and_equal_the_join(spark):
+    texts = [(i, ["Cats", "cats", "see", "s"] * (i % 3) + ["cats"]) for i in range(9)] + [(20, None), (21, []), (None, ["cats"]), (30, ["cats", "a"]), (30, ["b", "cats", "c"])]
+    rows = spark.createDataFrame(texts, "index bigint, tokens array<string>")
+    table = spark.createDataFrame([("cats", "cat"), ("s", ""), (None, "x")], "form string, lemma string")
+    found = lemmatize(rows, table)
+    in_order = lambda df: sorted(df.collect(), key=str)
+    assert in_order(found) == in_order(cleaning._lemmatize_by_join(rows, table, "index", "tokens"))
+    alone = lemmatize(rows.filter("index < 9"), table)
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Exchange" not in plan
+    twice = table.union(table)
+    assert in_order(lemmatize(rows, twice)) == in_order(cleaning._lemmatize_by_join(rows, twice, "index", "tokens"))
+
+
 def test_clean_text_follows_the_configuration(spark):
     rows = spark.createDataFrame([(1, "I do NOT like the CATSSSS 😀 www.x.y @me")], "index bigint, text string")
     pre = baseline_configuration("1")["preprocessing"]
