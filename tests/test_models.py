@@ -153,6 +153,23 @@ def test_all_folds_at_once_equal_single_fits(training, unit_training, kind):
             assert abs(slope.sum() + (b if kind == "linear_svm" else 0)) < 1e-5
 
 
+def test_passes_leave_no_shuffle_files_and_send_weights_once(spark, training, monkeypatch):
+    monkeypatch.setattr(S, "_FEW_TASKS", 1)
+    shards = in_shards(training, 3)
+    weights = np.full((3, shards.size + 1), 0.1)
+    want = S.summed([S.Block(r) for r in shards.table.toArrow().to_pylist()], shards.problem, "logistic", weights, weights)
+    data = S.OverShards(replace(shards, tasks=3), "logistic")
+    folder = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in map(str, folder.getAllFiles().mkString("\n").split("\n")) if "shuffle_" in f}
+    before = files()
+    assert data.sums(weights, weights) == pytest.approx(want)
+    held = data.held
+    assert data.sums(weights, weights) == pytest.approx(want) and data.held is held
+    assert not files() - before
+    data.close()
+    assert spark.conf.get(S._CLEANUP) == "false" and data.held is None
+
+
 def test_stochastic_descent_is_near_the_optimum_wherever_the_rows_are(spark, training, unit_training):
     for data in (training, unit_training):
         found = L.fit_folds(data.shards, {"type": "sgd", "parameters": {"tol": 1e-5, "alpha": 0.05}})
