@@ -184,6 +184,21 @@ def test_stochastic_descent_is_near_the_optimum_wherever_the_rows_are(spark, tra
     assert several.count == 3 and L.fit_folds(several, short).weights == pytest.approx(L.fit_folds(moved, short).weights, rel=1e-12)
 
 
+def test_an_epoch_of_descent_is_one_pass(training, monkeypatch):
+    passes = []
+    run = S.OverShards._run
+    monkeypatch.setattr(S.OverShards, "_run", lambda self, *args: passes.append(1) or run(self, *args))
+    L.fit_folds(in_shards(training, 3), {"type": "sgd", "parameters": {"max_iter": 6}})
+    assert len(passes) == 8  # the loss at zero, six epochs, the loss of the last mean
+
+
+def test_sums_without_zero_ranges_are_whole():
+    total = np.zeros((2, 3 * S._RANGE // 2))
+    total[0, 5], total[1, -1] = 1.0, 2.0
+    held = S._summed_ranges([S._parts(S._ranges(total)), S._parts(S._ranges(total))])
+    assert sorted(held) == [0, 2 * S._RANGE] and held[0][5] == 2.0 and held[2 * S._RANGE][-1] == 4.0
+
+
 def test_certificates(training, unit_training):
     for data in (training, unit_training):
         for kind in ("logistic_regression", "linear_svm", "sgd"):
