@@ -192,6 +192,23 @@ def test_an_epoch_of_descent_is_one_pass(training, monkeypatch):
     assert len(passes) == 8  # the loss at zero, six epochs, the loss of the last mean
 
 
+def test_linear_svm_with_rows_of_very_different_length_needs_few_passes():
+    random = np.random.default_rng(3)
+    n, size = 300, 2000
+    lengths = random.integers(5, 40, n)
+    slots = [np.sort(random.choice(size, k, replace=False)) for k in lengths]
+    values = [random.integers(1, 4, k) * 10.0 ** random.integers(0, 4) for k in lengths]
+    label = random.integers(0, 2, n).astype(float)
+    arrays = {"index": np.arange(n), "fold": np.zeros(n, np.int32), "label": label, "ends": np.cumsum(lengths).astype(np.int64), "slots": np.concatenate(slots).astype(np.int32)}
+    block = S.Block({"shard": 0, "n": n, "values": [np.concatenate(values).tobytes()]} | {name: a.tobytes() for name, a in arrays.items()})
+    data = S.InTask(block, S.Problem(size, (None,), (0,)), "squared_hinge")
+    first, start = S.ascend(data, 1.0, True, 1e-4)
+    gradient, _, loss, _ = data.at(first)
+    assert np.linalg.norm(gradient + first) <= 1e-4 * start[0] and data.count < 60
+    found = S.minimise(data, 1.0, True, True, 1e-4, 1000, (first, start))
+    assert found.objective[0] == pytest.approx(loss[0] + (first**2).sum() / 2) and found.weights == pytest.approx(first)
+
+
 def test_sums_without_zero_ranges_are_whole():
     total = np.zeros((2, 3 * S._RANGE // 2))
     total[0, 5], total[1, -1] = 1.0, 2.0
