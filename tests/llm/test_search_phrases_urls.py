@@ -97,6 +97,37 @@ def test_phrases_with_one_fingerprint_stay_apart(spark):
     assert {(r.phrase, r.a, r.l, r.r) for r in found.collect()} == {(f"{one} x", 12, 15, 27), (f"{other} x", 15, 15, 27)}
 
 
+def test_fingerprints_are_sent_packed(spark):
+    """A slice of texts gives a row for each range of fingerprints, not one for each n-gram, and no count is lost."""
+    rng = random.Random(5)
+    batch = pa.record_batch({"text": [" ".join(str(rng.randrange(3000)) for _ in range(400)) for _ in range(50)], "lang": ["en", None] * 25})
+    shared = spark.sparkContext.broadcast({0: None})
+    rows = list(collocations._counted(1, shared, 16)([batch]))
+    stream = collocations.Stream.of(batch)
+    found = collections.Counter(stream.fingerprints(stream.grams(1), 1).tolist())
+    assert sum(r.num_rows for r in rows) <= 16 < len(found)
+    again = pa.Table.from_batches(rows * 3).sort_by("bucket").combine_chunks().to_batches(max_chunksize=5)
+    for least in (1, 10, 30):
+        kept = [np.uint64(x & (2**64 - 1)) for r in collocations._frequent(least)(again) for x in r.column(0).to_pylist()]
+        assert sorted(kept) == sorted(f for f, n in found.items() if 3 * n >= least)
+
+
+def test_a_task_holds_a_bit_map_in_bits():
+    import tracemalloc
+
+    blocks = np.repeat(np.arange(2048), 4)
+    places = np.tile(np.array([0, 7, 8, 32767]), 2048)
+    batches = [pa.record_batch({"block": blocks, "place": places.astype(np.int32)})] * 2
+    tracemalloc.start()
+    rows = list(collocations._packed_blocks(iter(batches)))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 32 << 20  # 2^26 bits are 8 MB
+    want = np.zeros(1 << 15, bool)
+    want[[0, 7, 8, 32767]] = True
+    assert len(rows) == 2048 and all(r.column("bits")[0].as_py() == np.packbits(want, bitorder="little").tobytes() for r in rows)
+
+
 def test_collocation_scores_pass_64_bits(spark):
     rows = [("en", 0, "", 10**14), ("en", 1, "a", 3 * 10**12), ("en", 1, "b", 7 * 10**12), ("en", 2, "a b", 2 * 10**12 + 1)]
     found = collocations.scored(spark.createDataFrame(rows, "lang string, words int, phrase string, f bigint")).first()

@@ -7,7 +7,8 @@ longer candidate that holds it has at least `inside_percent` of its occurrences.
 
 In a task, the words of many texts lie in one stream. A word has a polynomial over its letters, and prefix sums of a polynomial over
 the words of the stream give the fingerprint of any n-gram in constant time. Level by level a shuffle adds up fingerprints alone: those that can still be frequent, since an
-n-gram cannot be if one of its two (n-1)-grams is not. Frequent fingerprints of a level are kept as a bit map of a fixed size
+n-gram cannot be if one of its two (n-1)-grams is not. They are sent in packed rows, one for each slice of texts and range of fingerprints, and added up
+range by range. Frequent fingerprints of a level are kept as a bit map of a fixed size
 (2^`bits` bits); one that is in it by chance costs work and no result. In the last pass, a task groups the occurrences of
 fingerprints in the map, takes the first of each group as pointer, compares the words of all others with the text there, and splits
 what differs; so equal fingerprints of different phrases do not mix. Only these phrases become text, and a second shuffle adds up
@@ -41,6 +42,7 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _LETTER_BASE = 0x9E3779B97F4A7C15
 _BLOCK = 15  # bits of a place inside a row of a bit map
 _SLICE_BYTES = 2 << 20  # of text at a time
+_MOST_SENT = 1 << 21  # fingerprints in a batch of packed rows
 
 
 def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -150,11 +152,61 @@ def verified(stream: Stream, codes: np.ndarray, at: np.ndarray, fingerprints: np
     return (np.concatenate(firsts), np.concatenate(counts)) if firsts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _counted(n: int, maps: Broadcast):
+def summed(fingerprints: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each fingerprint once, in ascending order, with the sum of its counts."""
+    if not len(fingerprints):
+        return fingerprints, counts
+    order = np.argsort(fingerprints)
+    fingerprints, counts = fingerprints[order], counts[order]
+    cuts = np.flatnonzero(np.concatenate([[True], fingerprints[1:] != fingerprints[:-1]]))
+    return fingerprints[cuts], np.add.reduceat(counts, cuts)
+
+
+def _counted(n: int, maps: Broadcast, buckets: int):
+    """Fingerprints of each slice and their counts, a row for each bucket: buckets are ranges of fingerprints."""
+    bounds = np.arange(buckets, dtype=np.uint64) << np.uint64(65 - buckets.bit_length())
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=_SLICE_BYTES):
             found, counts = np.unique(Stream.of(batch).possible(n, maps.value)[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["fingerprint", "n"])
+            for low in range(0, len(found), _MOST_SENT):
+                prints, ns = found[low : low + _MOST_SENT], counts[low : low + _MOST_SENT].astype(np.uint32)
+                edges = np.append(np.searchsorted(prints, bounds), len(prints))
+                there = np.flatnonzero(np.diff(edges))
+                ends = np.append(edges[there], len(prints)).astype(np.int32)
+                packed = [pa.Array.from_buffers(pa.binary(), len(there), [None, pa.py_buffer(ends * x.itemsize), pa.py_buffer(x)]) for x in (prints, ns)]
+                yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), *packed], ["bucket", "fingerprints", "counts"])
+
+    return apply
+
+
+def _frequent(least: int):
+    """Fingerprints with `least` occurrences or more, from rows in order of buckets; a task holds the fingerprints of one bucket."""
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, prints, counts, waiting = None, [], [], 0
+
+        def ended() -> pa.RecordBatch:
+            found, ns = summed(np.concatenate(prints), np.concatenate(counts))
+            return pa.RecordBatch.from_arrays([pa.array(found[ns >= least].view(np.int64))], ["fingerprint"])
+
+        for batch in batches:
+            numbers = batch.column("bucket").to_numpy()
+            cuts = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]])) if len(numbers) else []
+            for low, high in zip(cuts, [*cuts[1:], len(numbers)]):
+                if numbers[low] != bucket:
+                    if prints:
+                        yield ended()
+                    bucket, prints, counts, waiting = numbers[low], [], [], 0
+                flat = [flat_bytes(batch.column(c).slice(low, high - low))[0] for c in ("fingerprints", "counts")]
+                prints.append(np.frombuffer(flat[0].tobytes(), np.uint64))
+                counts.append(np.frombuffer(flat[1].tobytes(), np.uint32).astype(np.int64))
+                waiting += len(prints[-1])
+                if waiting > max(_MOST_SENT, len(prints[0])):
+                    found, ns = summed(np.concatenate(prints), np.concatenate(counts))
+                    prints, counts, waiting = [found], [ns], 0
+        if prints:
+            yield ended()
 
     return apply
 
@@ -190,10 +242,12 @@ def _packed_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         block, place = block[order], place[order]
         cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else []
         for low, high in zip(cuts, [*cuts[1:], len(block)]):
-            bits = held.setdefault(int(block[low]), np.zeros(1 << _BLOCK, bool))
-            bits[place[low:high]] = True
+            number, places = int(block[low]), place[low:high]
+            if number not in held:
+                held[number] = np.zeros(1 << (_BLOCK - 3), np.uint8)
+            np.bitwise_or.at(held[number], places >> 3, np.uint8(1) << (places & 7).astype(np.uint8))
     for number, bits in held.items():
-        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([np.packbits(bits, bitorder="little").tobytes()])], ["block", "bits"])
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([bits.tobytes()])], ["block", "bits"])
 
 
 def _bitmap(frequent: DataFrame, bits: int) -> np.ndarray:
@@ -207,18 +261,21 @@ def _bitmap(frequent: DataFrame, bits: int) -> np.ndarray:
     return out.reshape(-1)
 
 
-def phrase_counts(documents: DataFrame, text: str = "text", lang: str = "lang", longest: int = 3, least: int = 10, bits: int = 27) -> DataFrame:
+def phrase_counts(documents: DataFrame, text: str = "text", lang: str = "lang", longest: int = 3, least: int = 10, bits: int = 27, buckets: int = 1024) -> DataFrame:
     """`(lang, words, phrase, f)` of all phrases of 1 to `longest` words with f >= least, and of the empty phrase, f being all words."""
     if not _BLOCK <= bits <= 32:
         raise ValueError(f"a bit map has 2^{_BLOCK} to 2^32 bits")
+    if buckets < 2 or buckets & (buckets - 1):
+        raise ValueError("the number of buckets is a power of two, 2 or more")
     spark = documents.sparkSession
     ship(spark)
     rows = documents.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
     maps: dict[int, np.ndarray] = {}
     for n in range(1, longest + 1):
         below = spark.sparkContext.broadcast({n - 1: maps.get(n - 1)})
-        counted = rows.mapInArrow(_counted(n, below), "fingerprint bigint, n bigint").groupBy("fingerprint").agg(F.sum("n").alias("n"))
-        maps[n] = _bitmap(stage(counted.filter(F.col("n") >= least).select("fingerprint"), "frequent"), bits)
+        counted = rows.mapInArrow(_counted(n, below, buckets), "bucket int, fingerprints binary, counts binary")
+        frequent = counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_frequent(least), "fingerprint bigint")
+        maps[n] = _bitmap(frequent, bits)
     shared = spark.sparkContext.broadcast(maps)
     found = rows.mapInArrow(_materialised(longest, shared), "lang string, words int, phrase string, n bigint")
     summed = found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
