@@ -65,6 +65,27 @@ def test_tfidf_per_fold(spark, docs):
     assert {tuple(r) for r in only} == {tuple(r) for r in found if r["split"] == r["fold"]}
 
 
+def test_terms_of_a_task_do_not_grow_with_the_input(spark, docs, monkeypatch):
+    """More texts give more tasks for them and for their sorted terms; AQE does not put them together again."""
+    monkeypatch.setattr(FE, "TASK_TEXT", 2000)
+    monkeypatch.setattr(FE, "TASK_ROWS", 20)
+    for texts in (40, 400):
+        rows = spark.range(texts).selectExpr("id AS index", "repeat('words ', 100) AS text")
+        placed = FE.placed_by(rows, tasks=FE.tasks_for(rows))
+        sizes = [r["n"] for r in placed.groupBy(F.spark_partition_id()).agg(F.sum(F.length("text")).alias("n")).collect()]
+        assert sum(sizes) == texts * 600 and max(sizes) <= 8 * 2000
+    assert FE.tasks_for(spark.createDataFrame([(None,)], "text string")) == spark.sparkContext.defaultParallelism
+    counts = counted(docs)
+    terms = FE.fit_terms(docs, counts, [0, 1, 2])
+    want = {tuple(r) for r in FE.tfidf_per_fold(counts, terms, [0, 1, 2]).collect()}
+    for limit in (LO.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(LO, "BROADCAST_BYTES", limit)
+        found = FE.tfidf_per_fold(counts, terms, [0, 1, 2])
+        assert found.rdd.getNumPartitions() >= counts.count() / 20
+        got = {tuple(r)[:-1]: r["value"] for r in found.collect()}
+        assert got == pytest.approx({r[:-1]: r[-1] for r in want})
+
+
 def test_vocabulary_and_counts(spark, docs):
     vocabulary = {r["term"]: r["term_index"] for r in FE.fit_vocabulary(FE.distinct_terms(docs, "text")).collect()}
     assert [t for t, _ in sorted(vocabulary.items(), key=lambda kv: kv[1])] == sorted({*GOOD, *BAD, *[f"w{i}" for i in range(9)]})

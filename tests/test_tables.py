@@ -74,6 +74,20 @@ def test_lookup_without_broadcast_equals_a_plain_join(spark, monkeypatch, how, f
     assert sorted(map(str, got.select(sorted(got.columns)).collect())) == sorted(map(str, want.select(sorted(want.columns)).collect()))
 
 
+def test_served_rows_of_a_lookup_are_spread(spark, monkeypatch):
+    """All rows have the frequent key, which is broadcast: they must not meet in one task of the shuffle with the rest."""
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    left = spark.range(6000).select("id", F.when(F.col("id") % 7 < 7, "hot").alias("key"))
+    table = spark.createDataFrame([("hot", 1, 6000), ("cold", 2, 1)], "key string, value int, often int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = lookup.lookup_join(left, table, "key", ["id"], frequency="often", tasks=16)
+        sizes = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 6000 and len(sizes) > 8 and max(sizes) < 1500
+
+
 def test_checks(spark):
     parts = spark.createDataFrame([(0, 0), (1, 1), (1, 2), (9, 0)], S.PARTITIONS)
     train = spark.createDataFrame([(0, "a", 1), (1, "b", 0), (9, None, 1)], "index bigint, text string, label int")
