@@ -86,6 +86,24 @@ def test_terms_of_a_task_do_not_grow_with_the_input(spark, docs, monkeypatch):
         assert got == pytest.approx({r[:-1]: r[-1] for r in want})
 
 
+def test_tfidf_beyond_the_broadcast_limit_sorts_no_terms(spark, docs, monkeypatch):
+    """Terms meet the counts in tasks that hold a bounded part of the table: hashed, as many as the terms need."""
+    counts = FE.term_counts(docs, text="text", ngram_range=(1, 2))
+    terms = FE.fit_terms(docs, FE.text_terms(docs, "text", (1, 2)))
+    want = {(r["index"], r["term"]): r["value"] for r in FE.tfidf(counts, terms).collect()}
+    monkeypatch.setattr(LO, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(FE, "TASK_ROWS", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = FE.tfidf(counts, terms)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = {(r["index"], r["term"]): r["value"] for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and f", {-(-terms.rows // 10)})" in plan
+    assert got == pytest.approx(want)
+
+
 def test_vocabulary_and_counts(spark, docs):
     vocabulary = {r["term"]: r["term_index"] for r in FE.fit_vocabulary(FE.distinct_terms(docs, "text")).collect()}
     assert [t for t, _ in sorted(vocabulary.items(), key=lambda kv: kv[1])] == sorted({*GOOD, *BAD, *[f"w{i}" for i in range(9)]})
