@@ -215,7 +215,7 @@ def _materialised(longest: int, maps: Broadcast):
     """Phrases that may be frequent as text, and a row of no words with the number of all words of each language."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=_SLICE_BYTES):
+        for batch in slices(batches, limit=_SLICE_BYTES // 2):
             stream = Stream.of(batch)
             names, codes = pa.array(stream.languages, pa.string()), stream.codes()
             totals = np.bincount(stream.language, minlength=len(stream.languages))
