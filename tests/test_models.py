@@ -1,10 +1,13 @@
 """Features, learners, experiments, requests and the stream."""
 
 import math
+import tracemalloc
+import types
 from collections import Counter
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import LinearSVC
 from pyspark.sql import functions as F
@@ -209,6 +212,67 @@ def test_passes_leave_no_shuffle_files_and_send_weights_once(spark, training, mo
     assert spark.conf.get(S._CLEANUP) == "false" and data.held is None
 
 
+def test_a_task_holds_sums_for_the_slots_of_one_shard(training):
+    shards = replace(in_shards(training, 3), size=3_000_000)
+    batches, peaks = shards.table.toArrow().to_batches(), []
+
+    class Here:
+        """The staged table, its passes in this process."""
+
+        sparkSession, coalesce, persist, unpersist = shards.table.sparkSession, lambda self, _: self, lambda self: self, lambda self: None
+
+        def mapInArrow(self, apply, schema):
+            tracemalloc.start()
+            found = [b for b in apply(iter(batches))]
+            peaks.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+            return types.SimpleNamespace(toArrow=lambda: pa.Table.from_batches(found))
+
+    random = np.random.default_rng(5)
+    weights, along = random.normal(size=(3, shards.size + 1)), random.normal(size=(3, shards.size + 1))
+    blocks = [S.Block(r) for r in shards.table.toArrow().to_pylist()]
+    data = S.OverShards(replace(shards, table=Here()), "logistic")
+    try:
+        assert np.allclose(data.sums(weights, None), S.summed(blocks, shards.problem, "logistic", weights, None))
+        assert np.allclose(data.sums(weights, along), S.summed(blocks, shards.problem, "logistic", weights, along))
+        assert np.allclose(data.losses(weights, along), S.summed_along(blocks, shards.problem, "logistic", weights, along))
+        course = S.Course(0, 1000.0, 1e-2, 42, True, (20, 20, 20), 3)
+        assert np.allclose(data.epoch(weights, along, course), S.epoch_sums(blocks, shards.problem, weights, along, course))
+        rows = {block.shard: block.n for block in blocks}
+        climb = S.Climb(0, 1.0, True, 42, (True, True, True), {shard: sum(n for s, n in rows.items() if s < shard) for shard in rows})
+        duals = np.zeros((3, sum(rows.values())))
+        assert np.allclose(data.round(weights, duals, climb), S.round_sums(blocks, shards.problem, weights, duals, climb))
+    finally:
+        data.close()
+    assert len(peaks) == 5 and max(peaks) < weights.nbytes + 8 * shards.size  # the weights that a pass reads, and less than one sum
+
+
+def test_packing_holds_one_shard(training):
+    asked = []
+
+    def batches():
+        rows = training.docs.sparkSession.read.parquet(training.path).select("index", "fold", "label", "v").toArrow().combine_chunks()
+        for shard in range(4):
+            asked.append(shard)
+            yield rows.append_column("shard", pa.array([shard] * len(rows), pa.int32())).combine_chunks().to_batches()[0]
+
+    found = S._packed(["v"])(batches())
+    seen = []
+    for batch in found:
+        block = S.Block(batch.to_pylist()[0])
+        seen.append((block.shard, block.n, len(asked)))
+    assert seen == [(shard, training.docs.count(), min(shard + 2, 4)) for shard in range(4)]
+
+
+def test_long_shards_are_multiplied_in_parts(training, monkeypatch):
+    rows = in_shards(training, 1).table.toArrow().to_pylist()
+    block, weights = S.Block(rows[0]), np.random.default_rng(6).normal(size=training.size)
+    by_row = np.random.default_rng(7).normal(size=block.n)
+    want = block.dot(0, weights), block.transposed(0, by_row, training.size, squared=True)
+    monkeypatch.setattr(S, "_ENTRIES", 3)
+    assert np.array_equal(block.dot(0, weights), want[0]) and block.transposed(0, by_row, training.size, squared=True) == pytest.approx(want[1])
+
+
 def test_stochastic_descent_is_near_the_optimum_wherever_the_rows_are(spark, training, unit_training):
     for data in (training, unit_training):
         found = L.fit_folds(data.shards, {"type": "sgd", "parameters": {"tol": 1e-5, "alpha": 0.05}})
