@@ -312,6 +312,71 @@ def test_linear_svm_with_rows_of_very_different_length_needs_few_passes():
     assert found.objective[0] == pytest.approx(loss[0] + (first**2).sum() / 2) and found.weights == pytest.approx(first)
 
 
+def separable(n=1500, size=1500):
+    """Texts of two classes and very different lengths; few of them are near the border."""
+    random = np.random.default_rng(9)
+    label = random.integers(0, 2, n).astype(float)
+    lengths = random.integers(3, 30, n)
+    slots = [np.unique(np.append(random.choice(size, k), random.integers(0, 20) + 20 * int(y))) for k, y in zip(lengths, label)]
+    lengths = np.array([len(s) for s in slots])
+    values = random.integers(1, 4, lengths.sum()) * np.repeat(10.0 ** random.integers(0, 3, n), lengths)
+    arrays = {"index": np.arange(n), "fold": np.arange(n, dtype=np.int32) % 3, "label": label, "ends": np.cumsum(lengths).astype(np.int64), "slots": np.concatenate(slots).astype(np.int32)}
+    return S.Block({"shard": 0, "n": n, "values": [values.tobytes()]} | {name: a.tobytes() for name, a in arrays.items()}), size
+
+
+@pytest.mark.parametrize("loss", ["logistic", "squared_hinge"])
+def test_fits_of_the_rows_with_curvature_need_few_passes(loss, monkeypatch):
+    """The minimum of all rows, from a tenth of the passes; where it ends early the rest goes on from the best weights."""
+    block, size = separable()
+    monkeypatch.setattr(S, "_CHOSEN", 1 << 15)
+    fresh, penalised = lambda: S.InTask(block, S.Problem(size, (0,), (0,)), loss), loss == "squared_hinge"
+    plain = S.minimise(fresh(), 1.0, True, penalised, 1e-6, 1000)
+    found, done = S.settle(fresh(), 1.0, True, penalised, 1e-6, 1000)
+    assert done and found.norms[0] <= 1e-6 * found.start[0] and found.passes <= 40
+    assert found.start == pytest.approx(plain.start) and found.objective == pytest.approx(plain.objective, rel=1e-5)
+    monkeypatch.setattr(S, "_SETTLING", 1)
+    data = fresh()
+    found, done = S.settle(data, 1.0, True, penalised, 1e-6, 1000)
+    gradient, _, value, _ = data.at(found.weights)
+    ridge = np.append(np.ones(size), float(penalised))
+    assert not done and found.objective == pytest.approx(value + (ridge * found.weights[0] ** 2).sum() / 2)
+    assert S.minimise(data, 1.0, True, penalised, 1e-6, 1000, (found.weights, found.start)).objective == pytest.approx(plain.objective, rel=1e-5)
+
+
+def test_products_of_sparse_rows(monkeypatch):
+    random = np.random.default_rng(4)
+    dense = random.normal(size=(70, 50)) * (random.random((70, 50)) < random.random(50))
+    dense[3] = 0
+    row, slots = np.nonzero(dense)
+    for most in (7, 1 << 21):
+        monkeypatch.setattr(S, "_ENTRIES", most * 8)
+        assert np.allclose(S.gram(np.bincount(row, minlength=70), slots, dense[row, slots]), dense @ dense.T)
+
+
+@pytest.mark.parametrize("kind", ["logistic_regression", "linear_svm", "sgd"])
+def test_shards_in_one_task_give_what_passes_over_them_give(training, unit_training, kind, monkeypatch):
+    """A task for each fold, no job for each pass, and nothing is shuffled for it."""
+    for data in (training, unit_training):
+        shards = in_shards(data, 3)
+        short = {"type": kind, "parameters": {"max_iter": 4} if kind == "sgd" else {"tol": 1e-9}}
+        assert shards.count == 3 and not shards.together
+        want = L.fit_folds(shards, short)
+        with monkeypatch.context() as patch:
+            patch.setattr(S, "OverShards", None)
+            found = L.fit_folds(replace(shards, together=True), short)
+        assert found.weights == pytest.approx(want.weights, abs=1e-6)
+
+
+def test_a_task_reads_the_weights_of_one_fold_at_a_time(training):
+    data = S.OverShards(in_shards(training, 3), "logistic")
+    try:
+        matrix = np.arange(12.0).reshape(3, 4)
+        sent = data._sent(matrix)
+        assert np.array_equal(S._cut(sent, np.array([2, 0])), matrix[:, [2, 0]]) and not any("_value" in vars(one) for one in sent)
+    finally:
+        data.close()
+
+
 def test_sums_without_zero_ranges_are_whole():
     total = np.zeros((2, 3 * S._RANGE // 2))
     total[0, 5], total[1, -1] = 1.0, 2.0
