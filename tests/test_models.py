@@ -330,7 +330,7 @@ def test_fits_of_the_rows_with_curvature_need_few_passes(loss, monkeypatch):
     """The minimum of all rows, from a tenth of the passes; where it ends early the rest goes on from the best weights."""
     block, size = separable()
     monkeypatch.setattr(S, "_CHOSEN", 1 << 15)
-    fresh, penalised = lambda: S.InTask(block, S.Problem(size, (0,), (0,)), loss), loss == "squared_hinge"
+    fresh, penalised = lambda: S.InTask(block, S.Problem(size, (0,), (0,)), loss, direct=True), loss == "squared_hinge"
     plain = S.minimise(fresh(), 1.0, True, penalised, 1e-6, 1000)
     found, done = S.settle(fresh(), 1.0, True, penalised, 1e-6, 1000)
     assert done and found.norms[0] <= 1e-6 * found.start[0] and found.passes <= 40
